@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import canonical, encode, quantiles, unify
+from folioscope.llm import canonical, encode, leak, quantiles, truncation, unify
 from folioscope.session import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.found(*tables(spark, d, "pages"))
+
+
+def p2_rates(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.rates(*tables(spark, d, "pages"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return unify.found(*tables(spark, d, "separators", "sections"))
 
@@ -43,6 +51,14 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode(*tables(spark, d, "documents"))
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leak.found(*tables(spark, d, "documents", "eval_items"))
+
+
+def p8_items(spark: SparkSession, d: str) -> DataFrame:
+    return leak.leaked_items(*tables(spark, d, "documents", "eval_items"))
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
 

@@ -15,6 +15,7 @@ back, so a role repeated in a third of all rows costs one call.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
@@ -34,7 +35,9 @@ LOOKALIKES = {
     "u": "υսᴜц", "v": "νѵᴠ", "w": "ѡԝᴡ", "x": "хχ", "y": "уүγ", "z": "ᴢ",
 }
 _TO_LATIN = {ord(x): latin for latin, like in LOOKALIKES.items() for x in like}
-_KEEP = {"º", "ª", "°"}
+# characters that are their own plain form, and runs of others
+_SIMPLE = re.compile(r"[\n\x20-\x7e¡¿°ºª«»\xc0-\xff]*+")
+_OTHER = re.compile(r"[^\n\x20-\x7e¡¿°ºª«»\xc0-\xff]+")
 
 
 @cache
@@ -54,11 +57,10 @@ def _spaces() -> dict[int, str]:
 
 def plain_form(text: str | None) -> str | None:
     """The plain form of one text; null stays null, empty stays empty."""
-    if text is None or text.isascii() and text.isprintable():
+    if text is None or _SIMPLE.fullmatch(text):
         return text
     text = text.translate(_spaces()).translate(_ignorable())
-    parts = [c if c in _KEEP else unicodedata.normalize("NFKC", c) if not unicodedata.combining(c) else c for c in text]
-    text = unicodedata.normalize("NFC", "".join(parts)).translate(_TO_LATIN)
+    text = unicodedata.normalize("NFC", _OTHER.sub(lambda m: unicodedata.normalize("NFKC", m[0]), text)).translate(_TO_LATIN)
     return unicodedata.normalize("NFC", text).translate(_spaces()).translate(_ignorable())
 
 
