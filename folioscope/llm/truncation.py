@@ -71,13 +71,10 @@ running AS (
   SELECT doc_id, substring_index(rtrim(value), '\n', -1) AS line
   FROM held WHERE field = 'text' AND length(substring_index(rtrim(value), '\n', -1)) >= 8
   GROUP BY doc_id, substring_index(rtrim(value), '\n', -1) HAVING count(DISTINCT page_number) >= @repeated),
-ends AS (
-  SELECT h.*, r.line IS NOT NULL AS ends_running, substr(h.value, -@tail) AS tail
-  FROM held h LEFT JOIN running r ON h.field = 'text' AND h.doc_id = r.doc_id AND substring_index(rtrim(h.value), '\n', -1) = r.line),
 own AS (
-  SELECT doc_id, page_number, field, max_by(source, value) AS source, max(CASE
+  SELECT doc_id, page_number, field, max(source) AS source, max(substring_index(rtrim(value), '\n', -1)) AS line, max(CASE
     WHEN tail RLIKE r'(\.\.\.|…|\x{FFFD})\s*$' THEN 1
-    WHEN field = 'text' AND (ends_running OR tail RLIKE r'(\pL{5,}|S/\s*[\d,]+\.\d\d|\b(19|20)\d\d|\d\+\d{3}|@\S+\.\pL{2,7}|(?<![,.])\b\d{3,})\.\s*(@page)?$') THEN -1
+    WHEN field = 'text' AND tail RLIKE r'(\pL{5,}|S/\s*[\d,]+\.\d\d|\b(19|20)\d\d|\d\+\d{3}|@\S+\.\pL{2,7}|(?<![,.])\b\d{3,})\.\s*(@page)?$' THEN -1
     WHEN field = 'text' AND tail RLIKE r'([.!?]|^\s*\p{Lu}\pL+)\s*(@page)$|^\s*\p{Lu}\pL+\s*$' THEN -1
     WHEN field = 'text' AND tail RLIKE r'(^|\n)\s*\d+\.\d+ [^\n]* \d[\d,]*\.\d\d\s*(@page)?$' THEN -1
     WHEN field = 'text' AND tail RLIKE r'(?i)(^|\n)\W*(p[áa]g|fol)[a-z]*[\s.:]*\d{1,6}(\s*(/|de)\s*\d+)?\W*$' THEN -1
@@ -86,10 +83,11 @@ own AS (
     WHEN field = 'text' AND NOT tail RLIKE r'[.:]\s*$' AND startswith(array_join(lines, '\n'), value)
          AND substr(array_join(lines, '\n'), length(value) + 1, 1) RLIKE r'[\pL\p{Nd}]' THEN 1
     ELSE 0 END) AS said
-  FROM ends GROUP BY doc_id, page_number, field)
+  FROM (SELECT *, substr(value, -@tail) AS tail FROM held) GROUP BY doc_id, page_number, field)
 SELECT o.doc_id, o.page_number, o.field, o.source,
-       CASE WHEN o.said <> 0 THEN o.said = 1 ELSE j.cut_word OR coalesce(j.share <= CASE o.field WHEN 'text' THEN @rarely_text ELSE @rarely_reason END, false) END AS cut
+       CASE WHEN o.said <> 0 THEN o.said = 1 WHEN r.line IS NOT NULL THEN false ELSE j.cut_word OR coalesce(j.share <= CASE o.field WHEN 'text' THEN @rarely_text ELSE @rarely_reason END, false) END AS cut
 FROM own o LEFT JOIN judged j ON o.doc_id <=> j.doc_id AND o.page_number <=> j.page_number AND o.field = j.field
+LEFT JOIN running r ON o.field = 'text' AND o.doc_id = r.doc_id AND o.line = r.line
 """
 
 
