@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import canonical, encode, leak, quantiles, truncation, unify
+from folioscope.llm import canonical, encode, harm, leak, personal, quantiles, truncation, unify
 from folioscope.session import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,14 @@ def p3_forms(spark: SparkSession, d: str) -> DataFrame:
     return unify.roles(*tables(spark, d, "separators", "sections"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return personal.found(*tables(spark, d, "pages", "sections"))
+
+
+def p4_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return personal.redacted(*tables(spark, d, "pages", "sections"))
+
+
 def p5_percentiles(spark: SparkSession, d: str) -> DataFrame:
     return quantiles.percentiles(quantiles.score_sketches(*tables(spark, d, "pages")), quantiles.KEYS, quantiles.SHARES)
 
@@ -59,6 +67,18 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
     return leak.leaked_items(*tables(spark, d, "documents", "eval_items"))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return harm.found(*tables(spark, d, "documents", "content_labels"))
+
+
+def p9_scores(spark: SparkSession, d: str) -> DataFrame:
+    return harm.scores(*tables(spark, d, "documents", "content_labels"))
+
+
+def p9_rates(spark: SparkSession, d: str) -> DataFrame:
+    return harm.rates(*tables(spark, d, "documents", "content_labels"))
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
 
