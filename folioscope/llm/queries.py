@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import canonical, encode, harm, leak, personal, quantiles, truncation, unify
+from folioscope.llm import canonical, encode, harm, leak, personal, quantiles, scannoise, truncation, unify
 from folioscope.session import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return scannoise.found(*tables(spark, d, "pages"))
+
+
+def p1_text(spark: SparkSession, d: str) -> DataFrame:
+    return scannoise.repaired(*tables(spark, d, "pages"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return truncation.found(*tables(spark, d, "pages"))
 
