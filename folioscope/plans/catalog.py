@@ -1,11 +1,370 @@
-"""The queries of the core and their SQL."""
+"""The queries of the page operators over the driver's tables, each with its SQL where SQL can express it."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from folioscope.config import DEFAULT
+from folioscope.functions import text as tx
+from folioscope.operators import detect, pages as pg, segment as sg
+from folioscope.session import tables
+from folioscope.sources import jobs as job_source
 
-def oracle_sql():
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def keep(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = _shared(sql)
+        return f
+
+    return keep
+
+
+# ----------------------------------------------------------- SQL parts
+
+_STRIP = r"regexp_replace({0}, '^[\s\pZ\x{{1C}}-\x{{1F}}\x{{85}}]+|[\s\pZ\x{{1C}}-\x{{1F}}\x{{85}}]+$', '', 'g')"
+_STRIP_X = _STRIP.format("x")
+_BLANK_X = f"(x IS NULL OR length({_STRIP_X}) = 0)"
+_WORDS = ", ".join(f"'{w}'" for w in DEFAULT.role_words)
+_NO = ", ".join(f"'{w}'" for w in DEFAULT.no_separator)
+_DELIM = ", ".join(f"'{w}'" for w in DEFAULT.delimiters)
+
+_PARTS = {
+    # the last delivery of each page; deliveries of a page are otherwise equal
+    "latest": "latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page_number ORDER BY ingested_at DESC) AS rn FROM pages) WHERE rn = 1)",
+    "valid": "list_filter(line_scores, lambda x: x IS NOT NULL AND NOT isnan(x))",
+    "n_lines": f"coalesce(len(list_filter(lines, lambda x: NOT {_BLANK_X})), 0)",
+    "candidate": (
+        f"cand AS (SELECT doc_id, page_number, text, lines, list_filter(list_transform(coalesce(lines, []), lambda x: {_STRIP_X}), lambda x: x IS NOT NULL AND length(x) > 2 AND NOT regexp_full_match(x, '[\\p{{Nd}}²³¹⁰⁴-⁹₀-₉]+')) AS clean FROM latest), "
+        "cand2 AS (SELECT *, array_to_string(clean, ' ') AS t, strip_accents(lower(array_to_string(clean, ' '))) AS f FROM cand), "
+        f"cand3 AS (SELECT *, len(clean) BETWEEN 1 AND {DEFAULT.separator_lines} AND length(t) >= 10 AND len(list_filter([{_WORDS}], lambda x: contains(f, x))) > 0 AND len(list_filter([{_NO}], lambda x: contains(f, x))) = 0 AND len(list_distinct(string_split(replace(t, ' ', ''), ''))) > 2 AS is_candidate FROM cand2)"
+    ),
+    "delimiter": (
+        f"del1 AS (SELECT doc_id, page_number, list_filter(coalesce(lines, []), lambda x: NOT {_BLANK_X}) AS kept FROM latest), "
+        f"del2 AS (SELECT *, list_filter(list_transform(kept, lambda x: {_STRIP_X}), lambda x: length(x) > 3 AND NOT regexp_full_match(x, '[\\p{{Nd}}²³¹⁰⁴-⁹₀-₉]+') AND NOT regexp_full_match(replace(x, ' ', ''), '[-.—*=]+')) AS telling FROM del1), "
+        f"del3 AS (SELECT doc_id, page_number, len(telling) <= {DEFAULT.delimiter_lines} AND len(list_filter([{_DELIM}], lambda p: contains(strip_accents(lower(array_to_string(kept, ' '))), p))) > 0 AS is_delimiter FROM del2)"
+    ),
+    "marked": (
+        "sep AS (SELECT DISTINCT doc_id, page_number FROM separators WHERE es_separadora), "
+        "cut AS (SELECT doc_id, page_number FROM separators WHERE NOT es_separadora UNION SELECT doc_id, page_number FROM del3 WHERE is_delimiter), "
+        "m AS (SELECT l.doc_id, l.page_number, s.doc_id IS NOT NULL AS is_sep, c.doc_id IS NOT NULL AS is_cut FROM latest l LEFT JOIN sep s USING (doc_id, page_number) LEFT JOIN cut c USING (doc_id, page_number)), "
+        "r1 AS (SELECT *, CAST(sum(CAST(is_sep AS INT)) OVER w AS INT) AS sec, max(CASE WHEN is_sep THEN page_number END) OVER w AS start FROM m WINDOW w AS (PARTITION BY doc_id ORDER BY page_number)), "
+        "r2 AS (SELECT *, min(CASE WHEN is_cut AND page_number > start THEN page_number END) OVER (PARTITION BY doc_id, sec) AS fc FROM r1), "
+        "kept AS (SELECT * FROM r2 WHERE sec > 0 AND (fc IS NULL OR page_number < fc))"
+    ),
+}
+
+
+def _shared(sql: str) -> str:
+    for name, part in _PARTS.items():
+        sql = sql.replace(f"@{name}", part)
+    return sql
+
+
+# ------------------------------------------------------------- pieces
+
+
+def _pages(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Pages without repeated deliveries; only the columns asked for are read and shuffled."""
+    p = tables(spark, d, "pages")[0]
+    return pg.latest(p.select("doc_id", "page_number", *columns, "ingested_at") if columns else p)
+
+
+def _marked(spark: SparkSession, d: str) -> DataFrame:
+    separators = tables(spark, d, "separators")[0]
+    pages = _pages(spark, d, "lines")
+    cuts = sg.cut_points(separators.where("NOT es_separadora"), pages.where(detect.is_delimiter(F.col("lines"))))
+    return sg.marked(pages, separators.where("es_separadora"), cuts)
+
+
+def _roles(spark: SparkSession, d: str) -> DataFrame:
+    """One row per separator page with its role."""
+    s = tables(spark, d, "separators")[0].where("es_separadora")
+    return s.groupBy("doc_id", "page_number").agg(F.max("cargo_normalizado").alias("cargo"), F.max("cargo_detectado").alias("cargo_raw"))
+
+
+def _blocks(spark: SparkSession, d: str) -> DataFrame:
+    s = sg.sections(_marked(spark, d)).join(_roles(spark, d).withColumnRenamed("page_number", "separator_page"), ["doc_id", "separator_page"], "left")
+    return s.withColumn("numero", tx.post_number(F.col("cargo"))).withColumn("has_tables", F.lit(False))
+
+
+# ------------------------------------------------------------ queries
+
+
+@query("WITH @latest, @delimiter, @marked SELECT k.doc_id, k.sec AS section_index, min(k.start) AS separator_page, min(k.page_number) AS first, max(k.page_number) AS last, count(*) AS total_pages FROM kept k GROUP BY ALL")
+def segment(spark, d):
+    """Sections between separators, trimmed at the first cut point."""
+    return sg.sections(_marked(spark, d))
+
+
+@query("WITH @latest, @delimiter, @marked SELECT doc_id, sec AS section_index, min(start) AS separator_page, min(page_number) AS first, max(page_number) AS last, count(*) AS total_pages FROM r1 WHERE sec > 0 GROUP BY doc_id, sec")
+def sections_untrimmed(spark, d):
+    return sg.sections(_marked(spark, d), trim=False)
+
+
+@query("WITH @latest, @delimiter, @marked, b AS (SELECT doc_id, page_number AS lo, coalesce(lead(page_number) OVER (PARTITION BY doc_id ORDER BY page_number) - 1, 1000000000) AS hi, row_number() OVER (PARTITION BY doc_id ORDER BY page_number) AS i FROM m WHERE is_sep) SELECT l.doc_id, l.page_number, CAST(b.i AS INT) AS section_index FROM latest l JOIN b ON l.doc_id = b.doc_id AND l.page_number BETWEEN b.lo AND b.hi")
+def interval_join(spark, d):
+    """Pages with the separator interval they lie in; a running sum in place of a range join."""
+    return sg.section_pages(_marked(spark, d), trim=False)
+
+
+@query("WITH @latest, @delimiter, @marked SELECT doc_id, sec AS section_index, page_number FROM kept")
+def section_page_list(spark, d):
+    return sg.section_pages(_marked(spark, d))
+
+
+@query("WITH @latest, @delimiter, @marked SELECT doc_id, page_number FROM m EXCEPT SELECT doc_id, page_number FROM kept")
+def orphan_pages(spark, d):
+    return sg.orphans(_marked(spark, d))
+
+
+@query("WITH @latest, @delimiter, @marked SELECT doc_id, page_number FROM cut")
+def cut_points(spark, d):
+    """Discarded candidates and delimiter pages, each page once."""
+    return sg.cut_points(tables(spark, d, "separators")[0].where("NOT es_separadora"), _pages(spark, d, "lines").where(detect.is_delimiter(F.col("lines"))))
+
+
+_CONSOLIDATED = (
+    "WITH @latest, @delimiter, @marked, role AS (SELECT doc_id, page_number, max(cargo_normalizado) AS cargo, max(cargo_detectado) AS cargo_raw FROM separators WHERE es_separadora GROUP BY 1, 2), "
+    "b AS (SELECT doc_id, sec, min(start) AS sp, min(page_number) AS first, max(page_number) AS last, count(*) AS n FROM kept GROUP BY 1, 2), "
+    f"k AS (SELECT b.*, cargo, cargo_raw, regexp_replace(lower({_STRIP.format('cargo')}), 'n[°º]?\\s*(\\d+)', 'n°\\1', 'g') AS key, nullif(regexp_extract(lower(cargo), 'n[°º]?\\s*(\\d+)', 1), '') AS num FROM b JOIN role r ON b.doc_id = r.doc_id AND b.sp = r.page_number), "
+    "c AS (SELECT doc_id, key, arg_min(cargo, sp) AS cargo, arg_min(cargo_raw, sp) AS cargo_raw, arg_min(coalesce(num, ''), sp) AS num1, min(sp) AS separator_page, CAST(sum(n) AS BIGINT) AS total_pages, count(*) AS n_blocks, string_agg(first || '–' || last, '; ' ORDER BY first) AS ranges FROM k GROUP BY 1, 2)"
+)
+
+
+@query(_CONSOLIDATED + " SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY separator_page) AS INT) AS section_index, key, cargo, cargo_raw, CASE WHEN n_blocks > 1 THEN nullif(regexp_extract(lower(cargo), 'n[°º]?\\s*(\\d+)', 1), '') ELSE nullif(num1, '') END AS numero, separator_page, total_pages, n_blocks, ranges FROM c")
+def consolidate(spark, d):
+    """Repeated sections of a role as one."""
+    return sg.consolidate(_blocks(spark, d)).select("doc_id", "section_index", "key", "cargo", "cargo_raw", "numero", "separator_page", "total_pages", "n_blocks", sg.ranges_label().alias("ranges"))
+
+
+@query(_CONSOLIDATED + " SELECT doc_id, max(n_blocks) AS most_blocks, count(*) AS n_roles, CASE WHEN max(n_blocks) > 1 THEN 'B' ELSE 'A' END AS doc_type FROM c GROUP BY doc_id")
+def document_type(spark, d):
+    return sg.document_type(sg.consolidate(_blocks(spark, d)))
+
+
+@query("WITH @latest, v AS (SELECT doc_id, page_number, @valid AS s FROM latest) SELECT doc_id, page_number, round(list_avg(s), 9) AS conf_promedio, round(list_median(s), 9) AS conf_mediana, round(list_min(s), 9) AS conf_min, round(list_max(s), 9) AS conf_max, round(list_stddev_pop(s), 9) AS conf_std, coalesce(len(list_filter(s, lambda x: x < 0.85)), 0) AS lineas_baja_confianza FROM v")
+def page_metrics(spark, d):
+    m = pg.score_metrics(_pages(spark, d, "line_scores"), "line_scores", pg.KEYS)
+    return m.select(*pg.KEYS, *[F.round(c, 9).alias(c) for c in ("conf_promedio", "conf_mediana", "conf_min", "conf_max", "conf_std")], F.col("lineas_baja_confianza").cast("bigint").alias("lineas_baja_confianza"))
+
+
+@query("WITH @latest, e AS (SELECT source, unnest(@valid) AS s FROM latest) SELECT source, round(quantile_cont(s, 0.25), 6) AS q25, round(quantile_cont(s, 0.5), 6) AS q50, round(quantile_cont(s, 0.75), 6) AS q75 FROM e GROUP BY source")
+def quartiles(spark, d):
+    """Exact quartiles with linear interpolation of each source's scores; equal values are counted before they meet."""
+    e = _pages(spark, d, "source", "line_scores").select("source", F.explode(pg.valid_scores(F.col("line_scores"))).alias("s")).groupBy("source", "s").agg(F.count("*").alias("n"))
+    q = e.groupBy("source").agg(F.percentile("s", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q"))
+    return q.select("source", *[F.round(F.col("q")[i], 6).alias(c) for i, c in enumerate(("q25", "q50", "q75"))])
+
+
+_BIN = "CASE " + " ".join(f"WHEN s >= {a} AND s < {b} THEN {a}" for a, b in zip(DEFAULT.histogram, DEFAULT.histogram[1:])) + " END"
+
+
+@query(f"WITH @latest, e AS (SELECT source, unnest(@valid) AS s FROM latest), b AS (SELECT source, CAST({_BIN} AS DOUBLE) AS low FROM e), t AS (SELECT source, count(*) AS total FROM b GROUP BY 1) SELECT b.source, low, count(*) AS n, round(count(*) * 100 / any_value(total), 4) AS percent FROM b JOIN t USING (source) WHERE low IS NOT NULL GROUP BY b.source, low")
+def histogram(spark, d):
+    return pg.histogram(_pages(spark, d, "source", "line_scores"), ["source"])
+
+
+@query("WITH @latest SELECT angle_detected, count(*) AS n FROM latest GROUP BY 1")
+def angle_frequency(spark, d):
+    return _pages(spark, d, "angle_detected").groupBy("angle_detected").agg(F.count("*").alias("n"))
+
+
+_ROUTE = "engine_used <> 'error' AND conf_promedio IS NOT NULL AND n_lines > 15 AND conf_promedio < 0.85 AND tasa_descarte > 0.35"
+
+
+@query(f"WITH @latest, n AS (SELECT *, @n_lines AS n_lines FROM latest) SELECT doc_id, page_number, coalesce({_ROUTE}, false) AS second_pass, round(CASE WHEN det_count > 0 THEN (det_count - rec_count) / det_count ELSE 0 END, 6) AS discard FROM n")
+def route(spark, d):
+    """Pages that a second recogniser shall read."""
+    p = _pages(spark, d, "engine_used", "conf_promedio", "lines", "tasa_descarte", "det_count", "rec_count")
+    return p.select(*pg.KEYS, pg.needs_second_pass().alias("second_pass"), F.round(pg.discard_rate(F.col("det_count"), F.col("rec_count")), 6).alias("discard"))
+
+
+@query("WITH @latest SELECT doc_id, page_number, CASE WHEN conf_promedio < 0.85 OR tasa_descarte > 0.20 THEN 'reroute' WHEN lineas_baja_confianza > 0 THEN 'evaluate' ELSE 'use' END AS advice FROM latest")
+def legacy_route(spark, d):
+    return _pages(spark, d, "conf_promedio", "tasa_descarte", "lineas_baja_confianza").select(*pg.KEYS, pg.legacy_advice().alias("advice"))
+
+
+@query("WITH @latest, f AS (SELECT doc_id, page_number, 'paddle' AS engine_used, length(text) AS n_chars FROM latest), s AS (SELECT doc_id, page_number, engine_used, length(text) AS n_chars FROM latest WHERE engine_used <> 'paddle') SELECT doc_id, page_number, CASE WHEN s.engine_used IS NOT NULL THEN s.engine_used ELSE f.engine_used END AS engine_used, CASE WHEN s.engine_used IS NOT NULL THEN s.n_chars ELSE f.n_chars END AS n_chars FROM f LEFT JOIN s USING (doc_id, page_number)")
+def override(spark, d):
+    """First-pass rows replaced by second-pass rows, errors too."""
+    p = _pages(spark, d, "engine_used", "text")
+    n = F.length("text").cast("bigint").alias("n_chars")
+    return pg.override(p.select(*pg.KEYS, F.lit("paddle").alias("engine_used"), n), p.where("engine_used <> 'paddle'").select(*pg.KEYS, "engine_used", n))
+
+
+@query("WITH @latest SELECT doc_id, count(*) AS total_pages, count(*) FILTER (engine_used = 'paddle') AS pages_paddle, count(*) FILTER (engine_used = 'qwen') AS pages_qwen, count(*) FILTER (engine_used = 'error') AS pages_error, round(coalesce(avg(conf_promedio), 0), 6) AS conf_promedio_documento, round(sum(tiempo_total), 4) AS tiempo_total, CASE WHEN count(*) FILTER (engine_used = 'error') > 0 THEN 'red' WHEN coalesce(avg(conf_promedio), 0) < 0.85 THEN 'yellow' ELSE 'green' END AS status FROM latest GROUP BY doc_id")
+def doc_summary(spark, d):
+    s = pg.documents(_pages(spark, d, "engine_used", "conf_promedio", "tiempo_total"))
+    return s.withColumn("conf_promedio_documento", F.round("conf_promedio_documento", 6)).withColumn("tiempo_total", F.round("tiempo_total", 4))
+
+
+@query("WITH @latest SELECT doc_id, CAST(page_number // 256 AS INT) AS part, count(*) AS n_pages, md5(string_agg(text, chr(10) || chr(10) ORDER BY page_number)) AS digest FROM latest WHERE engine_used <> 'error' AND text IS NOT NULL GROUP BY 1, 2")
+def doc_text(spark, d):
+    """Each file's text by parts of 256 pages; its digest, as the texts are long."""
+    return pg.texts_in_parts(_pages(spark, d, "engine_used", "text"), True).select("doc_id", "part", "n_pages", F.md5("text").alias("digest"))
+
+
+@query(f"WITH @latest, @delimiter, @marked SELECT k.doc_id, k.sec AS section_index, CAST(page_number // 256 AS INT) AS part, count(*) AS n_pages, md5(string_agg(l.text, chr(10) || chr(10) ORDER BY page_number)) AS digest FROM kept k JOIN latest l USING (doc_id, page_number) WHERE l.engine_used <> 'error' AND l.text IS NOT NULL AND length({_STRIP.format('l.text')}) > 0 GROUP BY 1, 2, 3")
+def section_text(spark, d):
+    """Each section's text by parts; the text is joined to the pages only after the sections are known."""
+    p = _pages(spark, d, "engine_used", "text")
+    rows = sg.section_pages(_marked(spark, d)).join(p, pg.KEYS)
+    return pg.texts_in_parts(rows, False, ("doc_id", "section_index")).select("doc_id", "section_index", "part", "n_pages", F.md5("text").alias("digest"))
+
+
+@query(f"WITH @latest SELECT doc_id, page_number, @n_lines AS n_lines, coalesce(array_to_string(list_filter(lines, lambda x: NOT {_BLANK_X}), chr(10)), '') AS text FROM latest")
+def line_filter(spark, d):
+    """Lines that aren't blank, counted and put together."""
+    p = _pages(spark, d, "lines")
+    return p.select(*pg.KEYS, pg.line_count(F.col("lines")).cast("bigint").alias("n_lines"), F.coalesce(F.array_join(tx.kept_lines(F.col("lines")), "\n"), F.lit("")).alias("text"))
+
+
+@query("WITH @latest, e AS (SELECT doc_id, page_number, unnest(range(1, greatest(len(lines), len(line_scores)) + 1)) AS line_no, lines, line_scores FROM latest WHERE engine_used = 'paddle' AND lineas_baja_confianza > 0) SELECT doc_id, page_number, line_no, lines[line_no] AS line, line_scores[line_no] AS score FROM e WHERE line_scores[line_no] < 0.85 AND NOT isnan(line_scores[line_no])")
+def low_lines(spark, d):
+    return pg.low_lines(_pages(spark, d, "engine_used", "lineas_baja_confianza", "lines", "line_scores")).withColumn("line_no", F.col("line_no").cast("bigint"))
+
+
+@query(f"SELECT DISTINCT doc_id, page_number, cargo_detectado, strip_accents(lower(cargo_detectado)) AS folded, {_STRIP.format('cargo_detectado')} AS stripped, regexp_replace(lower({_STRIP.format('cargo_detectado')}), 'n[°º]?\\s*(\\d+)', 'n°\\1', 'g') AS key, nullif(regexp_extract(lower(cargo_detectado), 'n[°º]?\\s*(\\d+)', 1), '') AS numero FROM separators")
+def role_text(spark, d):
+    """The text functions over roles: folding, stripping, key, number of the post."""
+    c = F.col("cargo_detectado")
+    return tables(spark, d, "separators")[0].select("doc_id", "page_number", c, tx.fold(c).alias("folded"), tx.strip(c).alias("stripped"), tx.group_key(c).alias("key"), tx.post_number(c).alias("numero")).distinct()
+
+
+def _nested_replace() -> str:
+    sql = f"lower({_STRIP.format('cargo_detectado')})"
+    for a, b in DEFAULT.misreadings:
+        sql = f"replace({sql}, '{a}', '{b.lower()}')"
+    return sql
+
+
+@query(f"WITH n AS (SELECT DISTINCT cargo_detectado, {_nested_replace()} AS r FROM separators WHERE cargo_detectado IS NOT NULL) SELECT cargo_detectado, array_to_string(list_transform(regexp_extract_all(r, '[\\pL\\pM]+|[^\\pL\\pM]+'), lambda x: upper(x[1]) || x[2:]), '') AS cargo_normalizado FROM n")
+def normal_roles(spark, d):
+    c = F.col("cargo_detectado")
+    return tables(spark, d, "separators")[0].where(c.isNotNull()).select(c).distinct().select(c, tx.normal_role(c).alias("cargo_normalizado"))
+
+
+@query("WITH @latest, @candidate SELECT doc_id, page_number FROM cand3 WHERE is_candidate")
+def candidates(spark, d):
+    return _pages(spark, d, "lines").where(detect.is_candidate(F.col("lines"))).select(*pg.KEYS)
+
+
+@query("WITH @latest, @delimiter SELECT doc_id, page_number FROM del3 WHERE is_delimiter")
+def delimiters(spark, d):
+    return _pages(spark, d, "lines").where(detect.is_delimiter(F.col("lines"))).select(*pg.KEYS)
+
+
+@query()
+def verdicts(spark, d):
+    """The classifier's replies, parsed. Strict JSON with truth values of another language has no SQL; see the tests."""
+    v = tables(spark, d, "classifier")[0].select("doc_id", "page_number", detect.verdict(F.col("raw_reply")).alias("v"))
+    return v.select("doc_id", "page_number", "v.es_separadora", "v.cargo", "v.confianza", detect.accepted(F.col("v")).alias("accepted"))
+
+
+@query()
+def cascade(spark, d):
+    """Candidates judged by classifier, else by similarity, else discarded."""
+    pages, replies = _pages(spark, d, "lines", "text"), tables(spark, d, "classifier")[0]
+    return detect.evaluate(pages.where(detect.is_candidate(F.col("lines"))), replies)
+
+
+@query()
+def fuzzy_roles(spark, d):
+    """For each distinct role as detected the first catalogue role that is similar enough."""
+    from folioscope.functions import fuzzy
+
+    rows = tables(spark, d, "separators")[0].where("cargo_detectado <> ''").select("cargo_detectado").distinct()
+    return rows.select("cargo_detectado", fuzzy.first_role(tx.match_candidates(F.col("cargo_detectado")), DEFAULT.roles, DEFAULT.fuzzy_score).alias("role"))
+
+
+@query(f"WITH @latest, k AS (SELECT doc_id, page_number, list_filter(lines, lambda x: NOT {_BLANK_X}) AS l FROM latest WHERE len(lines) <= 15) SELECT doc_id, page_number, 2 AS n, i AS pos, l[i] || ' ' || l[i + 1] AS gram FROM k, unnest(range(1, len(l))) AS u(i) UNION ALL SELECT doc_id, page_number, 3, i, l[i] || ' ' || l[i + 1] || ' ' || l[i + 2] FROM k, unnest(range(1, len(l) - 1)) AS u(i)")
+def line_ngrams(spark, d):
+    """Pairs and triples of neighbouring lines of pages with few lines."""
+    k = _pages(spark, d, "lines").where(F.size("lines") <= DEFAULT.separator_lines).withColumn("l", tx.kept_lines(F.col("lines")))
+    parts = [k.select(*pg.KEYS, F.lit(n).alias("n"), F.posexplode(tx.ngrams(F.col("l"), n)).alias("p", "gram")) for n in (2, 3)]
+    return parts[0].unionByName(parts[1]).select(*pg.KEYS, "n", (F.col("p") + 1).cast("bigint").alias("pos"), "gram")
+
+
+@query(f"WITH @latest, t AS (SELECT doc_id, page_number, text, row_number() OVER (PARTITION BY doc_id ORDER BY page_number) AS rn FROM latest WHERE engine_used <> 'error' AND length({_STRIP.format('text')}) > 0) SELECT doc_id, page_number, replace(replace(text[1:80], chr(10), ' '), '|', '\\|') AS preview FROM t WHERE rn <= 2")
+def top_previews(spark, d):
+    """The first two pages with text of each file, as previews. The two are found by partial aggregation, without a window over the file."""
+    p = _pages(spark, d, "engine_used", "text").where((F.col("engine_used") != "error") & ~tx.blank(F.col("text")))
+    short = p.select(*pg.KEYS, F.replace(tx.preview(F.col("text"), 80, " "), F.lit("|"), F.lit("\\|")).alias("preview"))
+    first = short.groupBy("doc_id").agg(F.min(F.struct("page_number", "preview")).alias("a"))
+    rest = short.join(first.select("doc_id", F.col("a.page_number").alias("one")), "doc_id").where("page_number > one").groupBy("doc_id").agg(F.min(F.struct("page_number", "preview")).alias("a"))
+    return first.unionByName(rest).select("doc_id", "a.page_number", "a.preview")
+
+
+@query("WITH @latest SELECT doc_id, CAST(page_number // 256 AS INT) AS part, page_number, coalesce(text, '') AS text FROM latest")
+def map_text(spark, d):
+    """The maps from page to text, opened again."""
+    return pg.text_by_page(_pages(spark, d, "text")).select("doc_id", "part", F.explode("texts").alias("page_number", "text"))
+
+
+@query("WITH @latest, s AS (SELECT doc_id, page_number, CAST(floor(coalesce(tiempo_total, 0) * 100) AS BIGINT) AS s FROM latest) SELECT doc_id, page_number, CASE WHEN s <= 0 THEN '0s' WHEN s >= 3600 THEN lpad(CAST(s // 3600 AS VARCHAR), 2, '0') || 'h' || lpad(CAST((s % 3600) // 60 AS VARCHAR), 2, '0') || 'm' || lpad(CAST(s % 60 AS VARCHAR), 2, '0') || 's' WHEN s >= 60 THEN lpad(CAST(s // 60 AS VARCHAR), 2, '0') || 'm' || lpad(CAST(s % 60 AS VARCHAR), 2, '0') || 's' ELSE CAST(s AS VARCHAR) || 's' END AS eta FROM s")
+def eta(spark, d):
+    """Durations of a hundred times each page's time as text."""
+    return _pages(spark, d, "tiempo_total").select(*pg.KEYS, tx.eta(F.col("tiempo_total") * 100).alias("eta"))
+
+
+@query("WITH @latest SELECT doc_id, page_number, CASE WHEN engine_used = 'error' THEN coalesce(nullif(fallback_reason, ''), 'error') WHEN engine_used <> 'paddle' THEN 'qwen' WHEN conf_promedio < 0.85 THEN 'conf baja' WHEN tasa_descarte > 0.35 THEN 'descarte alto' WHEN lineas_baja_confianza > 0 THEN lineas_baja_confianza || ' líneas bajas' ELSE 'ok' END AS status FROM latest")
+def page_status(spark, d):
+    p = _pages(spark, d, "engine_used", "fallback_reason", "conf_promedio", "tasa_descarte", "lineas_baja_confianza")
+    return p.select(*pg.KEYS, pg.page_status().alias("status"))
+
+
+@query("SELECT doc_id, count(*) FILTER (es_separadora) AS n_separators, count(*) FILTER (NOT es_separadora) AS n_discarded FROM (SELECT DISTINCT doc_id, page_number, es_separadora FROM separators) GROUP BY doc_id")
+def separator_counts(spark, d):
+    s = tables(spark, d, "separators")[0].select("doc_id", "page_number", "es_separadora").distinct()
+    return s.groupBy("doc_id").agg(F.count_if("es_separadora").alias("n_separators"), F.count_if(~F.col("es_separadora")).alias("n_discarded"))
+
+
+@query("WITH @latest SELECT image_path, coalesce(TRY_CAST(list_extract(string_split(regexp_replace(regexp_extract(image_path, '([^/]*)$', 1), '\\.[^.]*$', ''), '_'), -1) AS INT), 0) AS page FROM latest WHERE image_path IS NOT NULL")
+def page_of_path(spark, d):
+    return _pages(spark, d, "image_path").where("image_path IS NOT NULL").select("image_path", tx.page_of_path(F.col("image_path")).alias("page"))
+
+
+@query("WITH @latest, j AS (SELECT job_id, doc_id, pages FROM jobs), want AS (SELECT job_id, doc_id, unnest(pages) AS page_number FROM j WHERE len(pages) > 0 UNION ALL SELECT job_id, doc_id, page_number FROM j JOIN latest USING (doc_id) WHERE coalesce(len(pages), 0) = 0) SELECT w.job_id, w.doc_id, w.page_number, l.engine_used FROM want w JOIN latest l USING (doc_id, page_number)")
+def requested_pages(spark, d):
+    """The pages that jobs ask for: all of a file for an empty list; repeated requests stay, missing pages are skipped."""
+    return job_source.requested(tables(spark, d, "jobs")[0], _pages(spark, d, "engine_used")).select("job_id", "doc_id", "page_number", "engine_used")
+
+
+@query("SELECT job_id, doc_id, CASE WHEN coalesce(nullif(mode, ''), 'segmentation') = 'ocr_only' THEN 'ocr_only' ELSE 'segmentation' END AS mode, coalesce(keep_images, false) AS keep_images, regexp_replace(regexp_extract(pdf_path, '([^/]*)$', 1), '\\.[^.]*$', '') AS stem FROM jobs")
+def job_modes(spark, d):
+    return job_source.modes(tables(spark, d, "jobs")[0])
+
+
+@query("SELECT doc_id, section_index, count(DISTINCT page_number) AS n_pages, min(page_number) AS first, max(page_number) AS last FROM section_pages GROUP BY 1, 2")
+def section_ranges(spark, d):
+    s = tables(spark, d, "section_pages")[0].distinct()
+    return s.groupBy("doc_id", "section_index").agg(F.count("*").alias("n_pages"), F.min("page_number").alias("first"), F.max("page_number").alias("last"))
+
+
+@query("SELECT doc_id, section_index, cargo, b.start AS start, b.\"end\" AS stop, b.separator_page AS separator_page, len(bloques_origen) > 1 AS type_b FROM (SELECT *, unnest(bloques_origen) AS b FROM sections)")
+def origin_blocks(spark, d):
+    s = tables(spark, d, "sections")[0]
+    return s.select("doc_id", "section_index", "cargo", (F.size("bloques_origen") > 1).alias("type_b"), F.explode("bloques_origen").alias("b")).select("doc_id", "section_index", "cargo", F.col("b.start").alias("start"), F.col("b.end").alias("stop"), F.col("b.separator_page").alias("separator_page"), "type_b")
+
+
+@query("WITH @latest SELECT doc_id, page_number, engine_used || CASE WHEN conf_promedio IS NOT NULL THEN ' · conf' ELSE '' END || CASE WHEN angle_detected <> 0 THEN ' · ' || angle_detected || '°' ELSE '' END AS header FROM latest")
+def page_headers(spark, d):
+    p = _pages(spark, d, "engine_used", "conf_promedio", "angle_detected")
+    return p.select(*pg.KEYS, F.concat("engine_used", F.when(F.col("conf_promedio").isNotNull(), " · conf").otherwise(""), F.when(F.col("angle_detected") != 0, F.concat(F.lit(" · "), F.col("angle_detected").cast("string"), F.lit("°"))).otherwise("")).alias("header"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
