@@ -114,9 +114,9 @@ class Model:
         k, n = len(labels), len(sets)
         columns = [np.array([index[f] for f in x if f in index], np.int64) for x in sets]
         sizes = np.array([len(c) for c in columns])
-        cols, rows = (np.concatenate(columns) if n else np.empty(0, np.int64)), np.repeat(np.arange(n), sizes)
+        cols, rows = (np.concatenate(columns) if n else np.empty(0, np.int64)), np.repeat(np.arange(n), sizes.astype(np.int64))
         scale = 1 / np.sqrt(np.maximum(1, [len(x) for x in sets])) if n else np.empty(0)
-        docs = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
+        docs = np.repeat(np.arange(len(bags)), np.array([len(b) for b in bags], np.int64))
         member = np.concatenate([np.array(b, np.int64) for b in bags]) if docs.size else np.empty(0, np.int64)
         positive = targets.max(axis=1) > 0 if len(bags) else np.zeros(0, bool)
         weight = np.where(positive, max(1.0, (~positive).sum() / max(1, positive.sum())) ** 0.5, 1.0)[:, None]
@@ -148,7 +148,7 @@ class Model:
                 return np.zeros(len(self.labels))
             ws = [unmask(x, self.known) if "*" in x else x for x in ws]
             x = features(ws)
-            at = [j for f in x if (j := self.index.get(f)) is not None]
+            at = np.array([j for f in x if (j := self.index.get(f)) is not None], np.int64)
             z = self.weights[at].sum(axis=0) / np.sqrt(max(1, len(x))) + self.bias
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             if len(self.cache) < 100_000 and len(key) < 400:
