@@ -16,14 +16,18 @@ def is_candidate(lines: Column, config: Config = DEFAULT) -> Column:
     text = F.array_join(clean, " ")
     folded = tx.fold(text)
     signs = F.size(F.array_distinct(F.filter(F.split(F.replace(text, F.lit(" "), F.lit("")), ""), lambda c: c != "")))
-    return (F.size(clean) >= 1) & (F.size(clean) <= config.separator_lines) & (F.length(text) >= 10) & tx.contains_any(folded, config.role_words) & ~tx.contains_any(folded, config.no_separator) & (signs > 2)
+    # cleaning takes away only numbers and short lines; without a role word in the whole page there is none in the rest
+    whole = tx.fold(F.array_join(F.coalesce(lines, F.array().cast("array<string>")), " "))
+    rest = (F.size(clean) >= 1) & (F.size(clean) <= config.separator_lines) & (F.length(text) >= 10) & tx.contains_any(folded, config.role_words) & ~tx.contains_any(folded, config.no_separator) & (signs > 2)
+    return F.when(tx.contains_any(whole, [w.split(" ")[0] for w in config.role_words]), rest).otherwise(F.lit(False))
 
 
 def is_delimiter(lines: Column, config: Config = DEFAULT) -> Column:
     """Whether a page begins a thematic block: a delimiting phrase and not too many lines that say something."""
     kept = F.coalesce(tx.kept_lines(lines), F.array().cast("array<string>"))
     telling = F.filter(F.transform(kept, tx.strip), lambda x: (F.length(x) > 3) & ~tx.is_digits(x) & ~F.replace(x, F.lit(" "), F.lit("")).rlike(r"^[-.—*=]+$"))
-    return (F.size(telling) <= config.delimiter_lines) & tx.contains_any(tx.fold(F.array_join(kept, " ")), config.delimiters)
+    # the phrase's first word first: lines are looked at one by one only where there is one
+    return F.when(tx.contains_any(tx.fold(F.array_join(F.coalesce(lines, F.array().cast("array<string>")), " ")), [p.split(" ")[0] for p in config.delimiters]), (F.size(telling) <= config.delimiter_lines) & tx.contains_any(tx.fold(F.array_join(kept, " ")), config.delimiters)).otherwise(F.lit(False))
 
 
 def verdict(raw: Column) -> Column:
@@ -71,9 +75,10 @@ def evaluate(candidates: DataFrame, replies: DataFrame, config: Config = DEFAULT
     A candidate without a reply counts as one with a broken reply. Of several
     replies of a page the greatest text is taken.
     """
-    one = replies.groupBy("doc_id", "page_number").agg(F.max("raw_reply").alias("raw_reply"))
+    one = replies.groupBy("doc_id", "page_number").agg(F.max("raw_reply").alias("raw_reply")).select("doc_id", "page_number", verdict(F.col("raw_reply")).alias("__r"))
+    none = F.struct(F.lit(False).alias("es_separadora"), F.lit("").alias("cargo"), F.lit("error").alias("confianza"))
     # the similarity is computed for those only that the classifier did not accept
-    rows = candidates.join(one, ["doc_id", "page_number"], "left").withColumn("__v", verdict(F.col("raw_reply")))
+    rows = candidates.join(one, ["doc_id", "page_number"], "left").withColumn("__v", F.coalesce("__r", none))
     rows = rows.withColumn("__yes", accepted(F.col("__v"))).withColumn("__c", F.when(~F.col("__yes"), tx.match_candidates(F.coalesce("text", F.lit("")))))
     rows = rows.withColumn("__f", fuzzy.first_role(F.col("__c"), config.roles, config.fuzzy_score))
     raw = F.when(F.col("__yes"), F.col("__v.cargo")).otherwise(F.coalesce("__f", F.lit("")))

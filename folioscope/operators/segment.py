@@ -15,11 +15,15 @@ from folioscope.functions import text as tx
 
 
 def marked(pages: DataFrame, separators: DataFrame, cuts: DataFrame) -> DataFrame:
-    """(doc_id, page_number, is_sep, is_cut) of every page row: whether it is a separator page, and a cut point."""
+    """(doc_id, page_number, is_sep, is_cut) of every page row: whether it is a separator page, and a cut point.
+
+    Pages with a column ``is_delimiter`` are cut points where it is true.
+    """
     s = separators.select("doc_id", "page_number").distinct().withColumn("is_sep", F.lit(True))
     c = cuts.select("doc_id", "page_number").distinct().withColumn("is_cut", F.lit(True))
-    rows = pages.select("doc_id", "page_number").join(s, ["doc_id", "page_number"], "left").join(c, ["doc_id", "page_number"], "left")
-    return rows.select("doc_id", "page_number", F.coalesce("is_sep", F.lit(False)).alias("is_sep"), F.coalesce("is_cut", F.lit(False)).alias("is_cut"))
+    delimiter = F.coalesce(F.col("is_delimiter"), F.lit(False)) if "is_delimiter" in pages.columns else F.lit(False)
+    rows = pages.select("doc_id", "page_number", delimiter.alias("d")).join(s, ["doc_id", "page_number"], "left").join(c, ["doc_id", "page_number"], "left")
+    return rows.select("doc_id", "page_number", F.coalesce("is_sep", F.lit(False)).alias("is_sep"), (F.col("d") | F.col("is_cut").isNotNull()).alias("is_cut"))
 
 
 def running(rows: DataFrame, config: Config = DEFAULT) -> DataFrame:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.config import DEFAULT
 from folioscope.functions import text as tx
 from folioscope.operators import detect, pages as pg, segment as sg
-from folioscope.session import tables
+from folioscope.session import cut, tables
 from folioscope.sources import jobs as job_source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,17 +72,25 @@ def _shared(sql: str) -> str:
 # ------------------------------------------------------------- pieces
 
 
-def _pages(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    """Pages without repeated deliveries; only the columns asked for are read and shuffled."""
+def _pages(spark: SparkSession, d: str, *columns: str | Column) -> DataFrame:
+    """Pages without repeated deliveries; only the columns asked for are read and shuffled.
+
+    Deliveries of a page are otherwise equal, so what is needed of long columns
+    is given as an expression, computed before the shuffle.
+    """
     p = tables(spark, d, "pages")[0]
     return pg.latest(p.select("doc_id", "page_number", *columns, "ingested_at") if columns else p)
 
 
+def _delimiter() -> Column:
+    return detect.is_delimiter(F.col("lines")).alias("is_delimiter")
+
+
 def _marked(spark: SparkSession, d: str) -> DataFrame:
     separators = tables(spark, d, "separators")[0]
-    pages = _pages(spark, d, "lines")
-    cuts = sg.cut_points(separators.where("NOT es_separadora"), pages.where(detect.is_delimiter(F.col("lines"))))
-    return sg.marked(pages, separators.where("es_separadora"), cuts)
+    pages = _pages(spark, d, _delimiter())
+    # a narrow table that several windows and joins read: written once
+    return cut(sg.marked(pages, separators.where("es_separadora"), separators.where("NOT es_separadora")))
 
 
 def _roles(spark: SparkSession, d: str) -> DataFrame:
@@ -129,7 +137,7 @@ def orphan_pages(spark, d):
 @query("WITH @latest, @delimiter, @marked SELECT doc_id, page_number FROM cut")
 def cut_points(spark, d):
     """Discarded candidates and delimiter pages, each page once."""
-    return sg.cut_points(tables(spark, d, "separators")[0].where("NOT es_separadora"), _pages(spark, d, "lines").where(detect.is_delimiter(F.col("lines"))))
+    return sg.cut_points(tables(spark, d, "separators")[0].where("NOT es_separadora"), _pages(spark, d, _delimiter()).where("is_delimiter"))
 
 
 _CONSOLIDATED = (
@@ -184,8 +192,7 @@ _ROUTE = "engine_used <> 'error' AND conf_promedio IS NOT NULL AND n_lines > 15
 @query(f"WITH @latest, n AS (SELECT *, @n_lines AS n_lines FROM latest) SELECT doc_id, page_number, coalesce({_ROUTE}, false) AS second_pass, round(CASE WHEN det_count > 0 THEN (det_count - rec_count) / det_count ELSE 0 END, 6) AS discard FROM n")
 def route(spark, d):
     """Pages that a second recogniser shall read."""
-    p = _pages(spark, d, "engine_used", "conf_promedio", "lines", "tasa_descarte", "det_count", "rec_count")
-    return p.select(*pg.KEYS, pg.needs_second_pass().alias("second_pass"), F.round(pg.discard_rate(F.col("det_count"), F.col("rec_count")), 6).alias("discard"))
+    return _pages(spark, d, pg.needs_second_pass().alias("second_pass"), F.round(pg.discard_rate(F.col("det_count"), F.col("rec_count")), 6).alias("discard")).drop("ingested_at")
 
 
 @query("WITH @latest SELECT doc_id, page_number, CASE WHEN conf_promedio < 0.85 OR tasa_descarte > 0.20 THEN 'reroute' WHEN lineas_baja_confianza > 0 THEN 'evaluate' ELSE 'use' END AS advice FROM latest")
@@ -255,12 +262,12 @@ def normal_roles(spark, d):
 
 @query("WITH @latest, @candidate SELECT doc_id, page_number FROM cand3 WHERE is_candidate")
 def candidates(spark, d):
-    return _pages(spark, d, "lines").where(detect.is_candidate(F.col("lines"))).select(*pg.KEYS)
+    return _pages(spark, d, detect.is_candidate(F.col("lines")).alias("is_candidate")).where("is_candidate").select(*pg.KEYS)
 
 
 @query("WITH @latest, @delimiter SELECT doc_id, page_number FROM del3 WHERE is_delimiter")
 def delimiters(spark, d):
-    return _pages(spark, d, "lines").where(detect.is_delimiter(F.col("lines"))).select(*pg.KEYS)
+    return _pages(spark, d, _delimiter()).where("is_delimiter").select(*pg.KEYS)
 
 
 @query()

@@ -29,8 +29,7 @@ def segment(pages: DataFrame, replies: DataFrame, config: Config = DEFAULT) -> t
     pages = pg.latest(pages)
     judged = cut(detect.evaluate(pages.where(detect.is_candidate(F.col("lines"), config)), replies, config))
     yes, no = judged.where("es_separadora"), judged.where("NOT es_separadora")
-    cuts = sg.cut_points(no, pages.where(detect.is_delimiter(F.col("lines"), config)))
-    rows = sg.marked(pages, yes, cuts)
+    rows = cut(sg.marked(pages.select(*pg.KEYS, detect.is_delimiter(F.col("lines"), config).alias("is_delimiter")), yes, no))
     roles = yes.select("doc_id", F.col("page_number").alias("separator_page"), F.col("cargo_normalizado").alias("cargo"), F.col("cargo_detectado").alias("cargo_raw"))
     tabled = pages.select("doc_id", "page_number", F.coalesce("tiene_tabla", F.lit(False)).alias("t"))
     has = sg.section_pages(rows, config=config).join(tabled, pg.KEYS).groupBy("doc_id", "section_index").agg(F.bool_or("t").alias("has_tables"))

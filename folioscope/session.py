@@ -12,6 +12,16 @@ def tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
     return [spark.read.parquet(f"{folder}/{n}.parquet") for n in names]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores, for costly maps over scans.
+
+    A large table has more splits than that and stays as it is; a small one in
+    a single file would otherwise keep one core busy.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if 0 < df.rdd.getNumPartitions() < n else df
+
+
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read again.
 
