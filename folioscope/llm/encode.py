@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.session import spread
+
 #: Fixed value: the public pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -146,7 +148,7 @@ def encode(documents: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN,
     A map over the rows without a shuffle. ``path`` is read by the executors
     and must exist there.
     """
-    source = documents.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text"))
+    source = spread(documents.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_one = encoder(path, pattern).encode

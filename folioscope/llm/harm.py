@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.unify import plain_form
+from folioscope.session import spread
 
 MOST_LABELLED = 20_000
 #: Shorter sentences are headings, remains of addresses and the like, and score 0.
@@ -194,7 +195,7 @@ def scores(documents: DataFrame, labelled: DataFrame) -> DataFrame:
             columns = list(zip(*out)) or [[], [], [], []]
             yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "score": columns[0], "label": columns[1], "n_offending": columns[2], "sentence": columns[3]})
 
-    return documents.select("doc_id", "source", "text").mapInPandas(run, "doc_id bigint, source string, score double, label string, n_offending int, sentence string")
+    return spread(documents.select("doc_id", "source", "text")).mapInPandas(run, "doc_id bigint, source string, score double, label string, n_offending int, sentence string")
 
 
 def found(documents: DataFrame, labelled: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.session import spread
+
 #: A trigram is frequent from so many occurrences on, and almost never terminal up to this share of them.
 FREQUENT, RARELY = 60, {"text": 0.01, "fallback_reason": 0.05}
 #: Pages of one file that end in the same line, from which on it is a running line.
@@ -103,7 +105,7 @@ def judged(pages: DataFrame) -> DataFrame:
     text = _QUERY.replace("{", "{{").replace("}", "}}")
     values = {"tail": TAIL, "titled": _TITLED_LINE.replace("{", "{{").replace("}", "}}"), "page": _PAGE_LINE.replace("{", "{{").replace("}", "}}"), "close": _CLOSING_LINE.replace("{", "{{").replace("}", "}}"), "pages": "{pages}", "whole": WHOLE_WORD, "last": LAST, "frequent": FREQUENT, "rarely_text": RARELY["text"], "rarely_reason": RARELY["fallback_reason"], "repeated": REPEATED, "ends": ", ".join(f"count_if(k = {k})" for k in range(LAST))}
     text = re.sub(r"@([a-z_]+)", lambda m: str(values[m[1]]) if m[1] in values else m[0], text)
-    return pages.sparkSession.sql(text, pages=pages.select("doc_id", "page_number", "text", "fallback_reason", "lines", "source"))
+    return pages.sparkSession.sql(text, pages=spread(pages.select("doc_id", "page_number", "text", "fallback_reason", "lines", "source")))
 
 
 def found(pages: DataFrame) -> DataFrame:
