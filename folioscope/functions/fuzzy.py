@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 
 def common_subsequence(a: str, b: str) -> int:
@@ -49,20 +49,20 @@ def best_role(candidate: str, roles: tuple[str, ...], least: float) -> str | Non
     return found
 
 
-def first_role(candidates: Column, roles: Sequence[str], least: float) -> Column:
-    """Of an array of candidates in order of priority, the role of the first that is similar enough to any; null if none is."""
+def with_first_role(df: DataFrame, candidates: str, name: str, roles: Sequence[str], least: float) -> DataFrame:
+    """``df`` with an array of candidates in order of priority replaced by the role of the first that is similar enough to any; null if none is."""
     fixed = tuple(roles)
+    schema = T.StructType([f for f in df.schema.fields if f.name not in (candidates, name)] + [T.StructField(name, T.StringType())])
 
-    @F.pandas_udf("string")
-    def pick(lists: pd.Series) -> pd.Series:
-        def one(items):
-            if items is None:
-                return None
-            for c in items:
-                if c is not None and len(c) < 2000 and (role := best_role(c, fixed, least)) is not None:
-                    return role
-            return None
+    def one(items) -> str | None:
+        for c in items if items is not None else ():
+            if c is not None and len(c) < 2000 and (role := best_role(c, fixed, least)) is not None:
+                return role
+        return None
 
-        return lists.map(one)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = pd.Series([one(x) for x in b[candidates]], index=b.index, dtype=object)
+            yield b.drop(columns=[candidates]).assign(**{name: found})[schema.names]
 
-    return pick(candidates)
+    return df.mapInPandas(run, schema)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import functools
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +22,11 @@ _DIGITS = r"^[\p{Nd}²³¹⁰⁴-⁹₀-₉]+$"
 _POST = r"n[°º]?\s*(\d+)"
 
 
+def bind(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is evaluated once, however often ``f`` uses it, also within lambdas."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def strip(c: Column) -> Column:
     """Without Unicode space at both ends."""
     return F.regexp_replace(c, f"^{_SPACE}+|{_SPACE}+$", "")
@@ -79,8 +84,7 @@ def post_number(c: Column) -> Column:
 
 def lines_of(c: Column) -> Column:
     """Lines at every Unicode line end; a last empty line is none."""
-    parts = F.split(c, _LINE_END)
-    return F.when(F.length(F.element_at(parts, -1)) == 0, F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(parts)
+    return bind(F.split(c, _LINE_END), lambda p: F.when(F.length(F.element_at(p, -1)) == 0, F.slice(p, 1, F.greatest(F.size(p) - 1, F.lit(0)))).otherwise(p))
 
 
 def kept_lines(lines: Column) -> Column:
@@ -90,9 +94,8 @@ def kept_lines(lines: Column) -> Column:
 
 def ngrams(lines: Column, n: int) -> Column:
     """``n`` neighbouring lines joined by a space; none if there are fewer."""
-    return F.when(F.size(lines) < n, F.array().cast("array<string>")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(F.size(lines) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(lines, i, n), " "))
-    )
+    grams = lambda x: F.transform(F.sequence(F.lit(1), F.greatest(F.size(x) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(x, i, n), " "))
+    return bind(lines, lambda x: F.when(F.size(x) < n, F.array().cast("array<string>")).otherwise(grams(x)))
 
 
 def match_lines(c: Column) -> Column:
@@ -103,8 +106,7 @@ def match_lines(c: Column) -> Column:
 
 def match_candidates(c: Column) -> Column:
     """What is compared with the roles, in order of priority: the text, the cleaned text, lines, pairs and triples."""
-    lines = match_lines(c)
-    return F.concat(F.array(c, F.array_join(lines, " ")), lines, ngrams(lines, 2), ngrams(lines, 3))
+    return bind(match_lines(c), lambda lines: F.concat(F.array(c, F.array_join(lines, " ")), lines, ngrams(lines, 2), ngrams(lines, 3)))
 
 
 def after_thought(c: Column) -> Column:

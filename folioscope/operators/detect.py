@@ -12,22 +12,28 @@ from folioscope.functions import text as tx
 
 def is_candidate(lines: Column, config: Config = DEFAULT) -> Column:
     """Whether a page may separate sections: few lines, a role word, none of the excluded phrases."""
-    clean = F.filter(F.transform(F.coalesce(lines, F.array().cast("array<string>")), tx.strip), lambda x: x.isNotNull() & (F.length(x) > 2) & ~tx.is_digits(x))
-    text = F.array_join(clean, " ")
-    folded = tx.fold(text)
-    signs = F.size(F.array_distinct(F.filter(F.split(F.replace(text, F.lit(" "), F.lit("")), ""), lambda c: c != "")))
+    none = F.array().cast("array<string>")
+    clean = F.filter(F.transform(F.coalesce(lines, none), tx.strip), lambda x: x.isNotNull() & (F.length(x) > 2) & ~tx.is_digits(x))
+
+    def judged(clean: Column) -> Column:
+        few = (F.size(clean) >= 1) & (F.size(clean) <= config.separator_lines)
+        signs = lambda t: F.size(F.array_distinct(F.filter(F.split(F.replace(t, F.lit(" "), F.lit("")), ""), lambda c: c != "")))
+        said = lambda f: tx.contains_any(f, config.role_words) & ~tx.contains_any(f, config.no_separator)
+        return few & tx.bind(F.array_join(clean, " "), lambda t: (F.length(t) >= 10) & (signs(t) > 2) & tx.bind(tx.fold(t), said))
+
     # cleaning takes away only numbers and short lines; without a role word in the whole page there is none in the rest
-    whole = tx.fold(F.array_join(F.coalesce(lines, F.array().cast("array<string>")), " "))
-    rest = (F.size(clean) >= 1) & (F.size(clean) <= config.separator_lines) & (F.length(text) >= 10) & tx.contains_any(folded, config.role_words) & ~tx.contains_any(folded, config.no_separator) & (signs > 2)
-    return F.when(tx.contains_any(whole, [w.split(" ")[0] for w in config.role_words]), rest).otherwise(F.lit(False))
+    whole = tx.fold(F.array_join(F.coalesce(lines, none), " "))
+    return F.when(tx.bind(whole, lambda t: tx.contains_any(t, [w.split(" ")[0] for w in config.role_words])), tx.bind(clean, judged)).otherwise(F.lit(False))
 
 
 def is_delimiter(lines: Column, config: Config = DEFAULT) -> Column:
     """Whether a page begins a thematic block: a delimiting phrase and not too many lines that say something."""
-    kept = F.coalesce(tx.kept_lines(lines), F.array().cast("array<string>"))
-    telling = F.filter(F.transform(kept, tx.strip), lambda x: (F.length(x) > 3) & ~tx.is_digits(x) & ~F.replace(x, F.lit(" "), F.lit("")).rlike(r"^[-.—*=]+$"))
+    none = F.array().cast("array<string>")
+    telling = lambda kept: F.filter(F.transform(kept, tx.strip), lambda x: (F.length(x) > 3) & ~tx.is_digits(x) & ~F.replace(x, F.lit(" "), F.lit("")).rlike(r"^[-.—*=]+$"))
+    judged = lambda kept: (F.size(telling(kept)) <= config.delimiter_lines) & tx.bind(tx.fold(F.array_join(kept, " ")), lambda t: tx.contains_any(t, config.delimiters))
     # the phrase's first word first: lines are looked at one by one only where there is one
-    return F.when(tx.contains_any(tx.fold(F.array_join(F.coalesce(lines, F.array().cast("array<string>")), " ")), [p.split(" ")[0] for p in config.delimiters]), (F.size(telling) <= config.delimiter_lines) & tx.contains_any(tx.fold(F.array_join(kept, " ")), config.delimiters)).otherwise(F.lit(False))
+    first = tx.bind(tx.fold(F.array_join(F.coalesce(lines, none), " ")), lambda t: tx.contains_any(t, [p.split(" ")[0] for p in config.delimiters]))
+    return F.when(first, tx.bind(F.coalesce(tx.kept_lines(lines), none), judged)).otherwise(F.lit(False))
 
 
 def verdict(raw: Column) -> Column:
@@ -80,9 +86,10 @@ def evaluate(candidates: DataFrame, replies: DataFrame, config: Config = DEFAULT
     # the similarity is computed for those only that the classifier did not accept
     rows = candidates.join(one, ["doc_id", "page_number"], "left").withColumn("__v", F.coalesce("__r", none))
     rows = rows.withColumn("__yes", accepted(F.col("__v"))).withColumn("__c", F.when(~F.col("__yes"), tx.match_candidates(F.coalesce("text", F.lit("")))))
-    rows = rows.withColumn("__f", fuzzy.first_role(F.col("__c"), config.roles, config.fuzzy_score))
-    raw = F.when(F.col("__yes"), F.col("__v.cargo")).otherwise(F.coalesce("__f", F.lit("")))
+    rows = rows.select("doc_id", "page_number", "__yes", F.col("__v.cargo").alias("__cargo"), F.col("__v.confianza").alias("__sure"), "__c")
+    rows = fuzzy.with_first_role(rows, "__c", "__f", config.roles, config.fuzzy_score)
+    raw = F.when(F.col("__yes"), F.col("__cargo")).otherwise(F.coalesce("__f", F.lit("")))
     return rows.select(
         "doc_id", "page_number", (F.col("__yes") | F.col("__f").isNotNull()).alias("es_separadora"), raw.alias("cargo_detectado"), tx.normal_role(raw, config).alias("cargo_normalizado"),
-        F.col("__v.confianza").alias("confianza_qwen"), F.when(F.col("__yes"), "qwen").when(F.col("__f").isNotNull(), "fuzzy_fallback").otherwise("descartada").alias("metodo"),
+        F.col("__sure").alias("confianza_qwen"), F.when(F.col("__yes"), "qwen").when(F.col("__f").isNotNull(), "fuzzy_fallback").otherwise("descartada").alias("metodo"),
     )

@@ -290,7 +290,7 @@ def fuzzy_roles(spark, d):
     from folioscope.functions import fuzzy
 
     rows = tables(spark, d, "separators")[0].where("cargo_detectado <> ''").select("cargo_detectado").distinct()
-    return rows.select("cargo_detectado", fuzzy.first_role(tx.match_candidates(F.col("cargo_detectado")), DEFAULT.roles, DEFAULT.fuzzy_score).alias("role"))
+    return fuzzy.with_first_role(rows.withColumn("c", tx.match_candidates(F.col("cargo_detectado"))), "c", "role", DEFAULT.roles, DEFAULT.fuzzy_score)
 
 
 @query(f"WITH @latest, k AS (SELECT doc_id, page_number, list_filter(lines, lambda x: NOT {_BLANK_X}) AS l FROM latest WHERE len(lines) <= 15) SELECT doc_id, page_number, 2 AS n, i AS pos, l[i] || ' ' || l[i + 1] AS gram FROM k, unnest(range(1, len(l))) AS u(i) UNION ALL SELECT doc_id, page_number, 3, i, l[i] || ' ' || l[i + 1] || ' ' || l[i + 2] FROM k, unnest(range(1, len(l) - 1)) AS u(i)")

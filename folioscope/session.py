@@ -3,12 +3,33 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each Spark context, so that its functions can be run there.
+
+    Needed where the package is not installed on them; the archive is handed to
+    Spark, whose driver serves it.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_folioscope_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="folioscope-")) / "folioscope.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._folioscope_shipped = True
+
+
 def tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
     """The named parquet tables of a folder."""
+    ship(spark)
     return [spark.read.parquet(f"{folder}/{n}.parquet") for n in names]
 
 

@@ -66,4 +66,4 @@ def test_common_subsequence(a, b):
 def test_first_acceptable_role(spark):
     roles = ("Gerente de Contrato", "Jefe de Supervisión")
     rows = spark.createDataFrame([(["nada", "gerente de contrat", "jefe de supervisión"],), (["zzz"],), ([],), (None,)], "c array<string>")
-    assert [r.r for r in rows.select(fuzzy.first_role(F.col("c"), roles, 80.0).alias("r")).collect()] == ["Gerente de Contrato", None, None, None]
+    assert [r.r for r in fuzzy.with_first_role(rows, "c", "r", roles, 80.0).collect()] == ["Gerente de Contrato", None, None, None]
