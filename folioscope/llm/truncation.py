@@ -70,18 +70,19 @@ judged AS (
          min_by((ends - 1) / greatest(n - 1, 1), CASE WHEN n >= @frequent AND NOT cut_word THEN k END) AS share
   FROM near GROUP BY doc_id, page_number, field),
 running AS (
-  SELECT doc_id, substring_index(rtrim(value), '\n', -1) AS line
-  FROM held WHERE field = 'text' AND length(substring_index(rtrim(value), '\n', -1)) >= 8
-  GROUP BY doc_id, substring_index(rtrim(value), '\n', -1) HAVING count(DISTINCT page_number) >= @repeated),
+  SELECT doc_id, line
+  FROM (SELECT doc_id, page_number, @last_line AS line FROM held WHERE field = 'text')
+  WHERE length(line) >= 8
+  GROUP BY doc_id, line HAVING count(DISTINCT page_number) >= @repeated),
 own AS (
-  SELECT doc_id, page_number, field, max(source) AS source, max(substring_index(rtrim(value), '\n', -1)) AS line, max(CASE
+  SELECT doc_id, page_number, field, max(source) AS source, max(@last_line) AS line, max(CASE
     WHEN tail RLIKE r'(\.\.\.|…|\x{FFFD})\s*$' THEN 1
-    WHEN field = 'text' AND tail RLIKE r'(\pL{5,}|S/\s*[\d,]+\.\d\d|\b(19|20)\d\d|\d\+\d{3}|@\S+\.\pL{2,7}|(?<![,.])\b\d{3,})\.\s*(@page)?$' THEN -1
+    WHEN field = 'text' AND tail RLIKE r'(\pL{5,}|S/\s*[\d,]+\.\d\d|\b(19|20)\d\d|\d\+\d{3}|@\S+\.\pL{2,7}|(?<![,.])\b\d{3,}|\d{3}\.\d{3}\.\d{3}|\pL[-\x{AD}\x{2010}\x{2011}\xAC]\s*\n\s*\pL+)\.\s*(@page)?$' THEN -1
     WHEN field = 'text' AND tail RLIKE r'([.!?]|^\s*\p{Lu}\pL+)\s*(@page)$|^\s*\p{Lu}\pL+\s*$' THEN -1
     WHEN field = 'text' AND tail RLIKE r'(^|\n)\s*\d+\.\d+ [^\n]* \d[\d,]*\.\d\d\s*(@page)?$' THEN -1
     WHEN field = 'text' AND tail RLIKE r'(?i)(^|\n)\W*(p[áa]g|fol)[a-z]*[\s.:]*\d{1,6}(\s*(/|de)\s*\d+)?\W*$' THEN -1
     WHEN field = 'text' AND tail RLIKE r'(^|\n)\s*@titled\s*(@page)?$' THEN -1
-    WHEN field = 'text' AND tail RLIKE r'(^|[.!?:)%]\s*\n)((@close|@titled)\n){0,4}@close\s*(@page)?$' THEN -1
+    WHEN field = 'text' AND tail RLIKE r'(^|[.!?:)%]\s*\n)((@close|@titled)\n){0,4}@close\s*(@page)?$|^(\p{Lu}[^\n.]{0,60}\n){1,4}@close\s*$' THEN -1
     WHEN field = 'text' AND NOT tail RLIKE r'[.:]\s*$' AND startswith(array_join(lines, '\n'), value)
          AND substr(array_join(lines, '\n'), length(value) + 1, 1) RLIKE r'[\pL\p{Nd}]' THEN 1
     ELSE 0 END) AS said
@@ -103,6 +104,8 @@ def judged(pages: DataFrame) -> DataFrame:
     lines and source; other columns are ignored.
     """
     text = _QUERY.replace("{", "{{").replace("}", "}}")
+    # the last line that is no page number
+    text = text.replace("@last_line", "substring_index(rtrim(regexp_replace(substr(value, -@tail), r'(@page)\\s*$', '')), '\\n', -1)")
     values = {"tail": TAIL, "titled": _TITLED_LINE.replace("{", "{{").replace("}", "}}"), "page": _PAGE_LINE.replace("{", "{{").replace("}", "}}"), "close": _CLOSING_LINE.replace("{", "{{").replace("}", "}}"), "pages": "{pages}", "whole": WHOLE_WORD, "last": LAST, "frequent": FREQUENT, "rarely_text": RARELY["text"], "rarely_reason": RARELY["fallback_reason"], "repeated": REPEATED, "ends": ", ".join(f"count_if(k = {k})" for k in range(LAST))}
     text = re.sub(r"@([a-z_]+)", lambda m: str(values[m[1]]) if m[1] in values else m[0], text)
     return pages.sparkSession.sql(text, pages=spread(pages.select("doc_id", "page_number", "text", "fallback_reason", "lines", "source")))
