@@ -95,3 +95,40 @@ def classify(pages: DataFrame, factory: Callable[[], Callable[[str, int], str]],
 def recorded(pages: DataFrame, results: DataFrame) -> DataFrame:
     """Recorded results of these pages, in place of a model."""
     return results.join(pages.select("doc_id", "page_number").distinct(), ["doc_id", "page_number"], "left_semi").withColumn("replayed", F.lit(True))
+
+
+def read_page(pages: DataFrame, first: Callable[[], Callable[[str, int], dict]], second: Callable[[], Callable[[str, int, int], str]], config=None, calls: int | None = None) -> DataFrame:
+    """Both passes as one flow: recognise, decide by the page's metrics, read again where needed.
+
+    The first pass is written before it is split; see ``process.route_and_override``.
+    """
+    from folioscope.config import DEFAULT
+    from folioscope.operators import pages as pg
+    from folioscope.plans import process
+
+    config = config or DEFAULT
+    raw = recognise(pages, first, calls)
+    rows = pg.from_recognition(raw, config)
+    failed = raw.where("failure IS NOT NULL").select("doc_id", "page_number", F.col("failure").alias("__f"))
+    rows = rows.join(failed, ["doc_id", "page_number"], "left").withColumn("fallback_reason", F.coalesce("__f", "fallback_reason")).drop("__f")
+    return process.route_and_override(rows, lambda routed: read_again(routed, second, calls=calls).drop("seconds"), config)
+
+
+def layout(pages: DataFrame, factory: Callable[[], Callable[[str], dict]]) -> DataFrame:
+    """A model's description of each page's layout as JSON text, with its tokens and seconds; null where it failed."""
+    import json
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = factory()
+        for b in batches:
+            rows = []
+            for doc, page, path in zip(b["doc_id"], b["page_number"], b["image_path"]):
+                began = time.monotonic()
+                try:
+                    r = model(path)
+                    rows.append((doc, page, json.dumps(r, ensure_ascii=False), r.get("completion_tokens"), time.monotonic() - began))
+                except Exception:  # noqa: BLE001
+                    rows.append((doc, page, None, None, time.monotonic() - began))
+            yield pd.DataFrame(rows, columns=["doc_id", "page_number", "layout", "tokens", "seconds"]).astype({"tokens": "Int64"})
+
+    return pages.select("doc_id", "page_number", "image_path").mapInPandas(run, "doc_id string, page_number int, layout string, tokens bigint, seconds double")

@@ -157,3 +157,28 @@ def histogram(pages: DataFrame, keys: Sequence[str], config: Config = DEFAULT) -
     total = s.groupBy(*keys).agg(F.count("*").alias("total"))
     low = F.element_at(F.array(*[F.lit(b) for b in bounds]), F.col("bin") + 1)
     return s.where("bin is not null").groupBy(*keys, "bin").agg(F.count("*").alias("n")).join(total, list(keys)).select(*keys, low.alias("low"), "n", F.round(F.col("n") * 100 / F.col("total"), 4).alias("percent"))
+
+
+def line_table(raw: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """Each recognised line with its score, angle, polygon and status, by position.
+
+    ``raw``: doc_id, page_number, rec_texts, rec_scores, angles, polys; shorter
+    arrays are filled with nulls, a missing angle reads N/A.
+    """
+    zipped = F.arrays_zip(F.col("rec_texts").alias("text"), F.col("rec_scores").alias("score"), F.col("angles").alias("angle"), F.col("polys").alias("poly"))
+    rows = raw.select(*KEYS, F.posexplode(zipped).alias("pos", "z"))
+    score = F.col("z.score").try_cast("double")
+    return rows.select(
+        *KEYS, (F.col("pos") + 1).alias("line_no"), F.col("z.text").alias("text"), score.alias("score"), F.coalesce(F.col("z.angle").cast("string"), F.lit("N/A")).alias("angle"),
+        tx.polygon(F.col("z.poly")).alias("polygon"), F.when(score >= config.least_confidence, "ok").otherwise("warn").alias("status"),
+    )
+
+
+def low_share(config: Config = DEFAULT) -> Column:
+    """Percentage of recognised lines of low confidence; 0 where nothing was recognised."""
+    return F.when(F.col("rec_count") > 0, F.col("lineas_baja_confianza") * 100 / F.col("rec_count")).otherwise(F.lit(0.0))
+
+
+def throughput(tokens: Column, seconds: Column) -> Column:
+    """Tokens a second of a model call; null without time."""
+    return F.when(seconds > 0, tokens / seconds)

@@ -69,6 +69,21 @@ def write_consolidation(consolidated: DataFrame, doc_id: str, folder: str, now:
     return _written(folder, f"{doc_id}_consolidacion_{now:%Y%m%d_%H%M%S}.md", out)
 
 
+def write_analysis(pages: DataFrame, lines: DataFrame, doc_id: str, folder: str, now: datetime) -> Path:
+    """The long analysis of one file: routing advice, quartiles, histogram, angles, and every line of ``line_table``."""
+    own, rows = pages.where(F.col("doc_id") == doc_id), lines.where(F.col("doc_id") == doc_id)
+    advice = own.orderBy("page_number").select("page_number", pg.legacy_advice().alias("a"), F.round(pg.low_share(), 2).alias("l")).toLocalIterator()
+    scores = own.select(F.explode(pg.valid_scores(F.col("line_scores"))).alias("s"))
+    q = scores.agg(F.percentile("s", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).first().q or [None] * 3
+    bins = pg.histogram(own, ["doc_id"]).orderBy("low").toLocalIterator()
+    angles = own.groupBy("angle_detected").count().orderBy("angle_detected").toLocalIterator()
+    out = [f"# Análisis de {doc_id}", "", "## Recomendación", "", *_table(["página", "recomendación", "% bajas"], ((r.page_number, r.a, r.l) for r in advice))]
+    out += ["", "## Cuartiles", "", *_table(["q25", "q50", "q75"], [[_number(x, 4) for x in q]]), "", "## Histograma", "", *_table(["desde", "líneas", "%"], ((r.low, r.n, _number(r.percent, 1)) for r in bins))]
+    out += ["", "## Ángulos", "", *_table(["ángulo", "páginas"], (tuple(r) for r in angles)), "", "## Líneas", ""]
+    out += _table(["página", "línea", "texto", "confianza", "ángulo", "polígono", "estado"], ((r.page_number, r.line_no, r.text, _number(r.score, 4), r.angle, r.polygon, r.status) for r in rows.orderBy("page_number", "line_no").toLocalIterator()))
+    return _written(folder, f"{doc_id}_analisis_{now:%Y%m%d_%H%M%S}.md", out)
+
+
 def write_json(consolidated: DataFrame, doc_id: str, path: str) -> Path:
     """The roles of one file as one JSON document, non-ASCII letters kept."""
     rows = consolidated.where(F.col("doc_id") == doc_id).orderBy("section_index").select("section_index", "cargo", "numero", "separator_page", "total_pages").toLocalIterator()

@@ -79,6 +79,22 @@ def test_segment_flow_and_reports(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "all")).count() == 2
 
 
+def test_lines_layout_and_fused_flow(spark, tmp_path):
+    raw = spark.createDataFrame([("d", 1, ["a", "b"], ["0.9", "x"], [90], [[[1, 2], [3, 4]]])], "doc_id string, page_number int, rec_texts array<string>, rec_scores array<string>, angles array<int>, polys array<array<array<int>>>")
+    r = pg.line_table(raw).orderBy("line_no").collect()
+    assert [(x.line_no, x.text, x.score, x.angle, x.polygon, x.status) for x in r] == [(1, "a", 0.9, "90", "(1,2) → (3,4)", "ok"), (2, "b", None, "N/A", None, "warn")]
+    pages = spark.createDataFrame([("d", 1, "a"), ("d", 2, "b")], COLUMNS)
+    first = lambda: lambda path, page: {"rec_texts": ["x"] * 16, "rec_scores": [0.2] * 16, "dt_polys": [[[0, 0]]] * 40} if page == 1 else 1 / 0
+    done = stages.read_page(pages, first, lambda: lambda path, page, size: "leído")
+    assert {(x.page_number, x.engine_used, x.text) for x in done.collect()} == {(1, "qwen", "leído"), (2, "error", "")}
+    assert done.where("page_number = 2").first().fallback_reason.startswith("paddle_exception:")
+    lay = stages.layout(pages, lambda: lambda path: {"tipo": "tabla", "completion_tokens": 7} if path == "a" else 1 / 0)
+    assert {(x.page_number, x.tokens) for x in lay.select("page_number", "tokens", pg.throughput(F.col("tokens"), F.col("seconds"))).collect()} == {(1, 7), (2, None)}
+    metrics = spark.createDataFrame([("d", 1, [0.9, 0.4], 0.65, 0.1, 1, 2, 90)], "doc_id string, page_number int, line_scores array<double>, conf_promedio double, tasa_descarte double, lineas_baja_confianza int, rec_count int, angle_detected int")
+    text = reports.write_analysis(metrics, pg.line_table(raw), "d", str(tmp_path), datetime(2025, 1, 2)).read_text()
+    assert "reroute" in text and "50.0" in text and "(1,2) → (3,4)" in text
+
+
 def test_jobs_and_pdf(spark, tmp_path):
     p = spark.createDataFrame([("d", 1, "a"), ("d", 2, "b")], "doc_id string, page_number int, x string")
     j = spark.createDataFrame([(1, "d", "", [2, 2, 9], None), (2, "d", None, [], True), (3, "d", "ocr_only", None, None)], "job_id long, doc_id string, mode string, pages array<int>, keep_images boolean").withColumn("pdf_path", F.lit("/x/y.z.pdf"))
