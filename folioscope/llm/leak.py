@@ -7,8 +7,8 @@ budget keeps at least one piece, and by the q-gram count at least
 ``WORDS - PIECE + 1 - PIECE * ERRORS`` runs of that length. Documents are scanned once for exact
 pieces (a hash table of all pieces of the test set); places with enough of
 them near one diagonal are verified with Myers' bit-parallel edit distance
-over characters. Windows that many documents share are formulas and do not
-count as leaks.
+over characters. Formulas do not count as leaks: words that several passages
+share, and windows that many documents hold.
 
 The test set is the stated query set: it is sent to the executors in blocks of
 bounded size, the corpus is never shuffled, and only matches are.
@@ -34,8 +34,10 @@ WORDS, PIECE, ERRORS = 19, 3, 4
 EDITS = 0.2
 #: Least share of a window's words that must stand unaltered near the place.
 LEAST_COMMON = 0.6
-#: Windows of an item that a document must hold where none has both a number and a name.
-LEAST_WINDOWS = 12
+#: Words of the least stretch that a document must hold of an item where no window has both a number and a name; and windows that do as well, next to each other or not.
+LEAST_WORDS, LEAST_WINDOWS = 20, 12
+#: Every run of LEAST_WORDS words has a piece that begins at a multiple of this.
+STEP = LEAST_WORDS - PIECE + 1
 #: For windows without any number or name: most edits, altered words, and words of the least stretch of such windows.
 BARE_EDITS, BARE_ERRORS, BARE_WORDS = 0.15, 3, 24
 #: A window that is in this share of all documents, and in at least so many of them, is a formula.
@@ -110,6 +112,8 @@ class Items:
         self.strong: set[tuple[int, int]] = set()
         #: items with windows that have neither
         self.bare: dict[int, list[int]] = {}
+        #: of every STEP-th piece the places
+        self.anchors: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for i, passage in items:
             w, names = words_of(passage), _names(passage)
             self.words[i] = w
@@ -132,18 +136,38 @@ class Items:
                 else:
                     self.bare[i] = starts
             for k in range(len(w) - PIECE + 1):
-                self.pieces[" ".join(w[k : k + PIECE])].setdefault(i, []).append(k)
+                self.pieces[piece := " ".join(w[k : k + PIECE])].setdefault(i, []).append(k)
+                if k % STEP == 0:
+                    self.anchors[piece].append((i, k))
+
+    def verbatim(self, w: list[str]) -> set[tuple[int, int, int]]:
+        """(item, first, end) of every run of at least LEAST_WORDS words that ``w`` holds unaltered."""
+        out = set()
+        for k in range(len(w) - PIECE + 1):
+            for i, p in self.anchors.get(f"{w[k]} {w[k + 1]} {w[k + 2]}", ()):
+                own, a, z = self.words[i], 0, PIECE
+                while a < min(p, k) and own[p - a - 1] == w[k - a - 1]:
+                    a += 1
+                while p + z < len(own) and k + z < len(w) and own[p + z] == w[k + z]:
+                    z += 1
+                if a + z >= LEAST_WORDS:
+                    out.add((i, p - a, p + z))
+        return out
 
     def matches(self, text: str | None) -> list[tuple[int, int]]:
         """(item, start) of every window that the text holds within the allowed edits."""
+        return [(item, start) for item, start, _, _ in self.stretches(text)]
+
+    def stretches(self, text: str | None) -> list[tuple[int, int, int, int]]:
+        """(item, start, first, end) of every window that the text holds; first and end bound the words from its first to its last unaltered piece (none, if its names are elsewhere)."""
         w = words_of(text)
         held = set(w)
         alike = {skeleton(x) for x in held}
-        asked: dict[int, list[int]] = defaultdict(list)
+        asked: dict[int, list[tuple[int, frozenset[str]]]] = defaultdict(list)
         for key in held | alike:
             for numbers, marks, i, starts in self.marked.get(key, ()):
                 if numbers <= held and marks <= alike:
-                    asked[i] += starts
+                    asked[i] += [(s, marks) for s in starts]
         hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for k in range(len(w) - PIECE + 1):
             if (found := self.pieces.get(f"{w[k]} {w[k + 1]} {w[k + 2]}")) is not None:
@@ -156,42 +180,49 @@ class Items:
                         if i not in asked:
                             for p in found.get(i, ()):
                                 hits[i].append((p, k - p))
-        out: list[tuple[int, int]] = []
+        out: dict[tuple[int, int], tuple[int, int]] = {}
         for item, at in hits.items():
             at.sort()
-            out += [(item, s) for s in asked.get(item, ()) if self._there(w, item, s, at, ERRORS, EDITS)]
+            out |= {(item, s): x for s, marks in asked.get(item, ()) if (x := self._there(w, item, s, at, ERRORS, EDITS, marks))}
             # without a number or name, a longer stretch is needed: windows next to each other
-            bare = [s for s in self.bare.get(item, ()) if self._there(w, item, s, at, BARE_ERRORS, BARE_EDITS)]
+            bare = [(s, x) for s in self.bare.get(item, ()) if (x := self._there(w, item, s, at, BARE_ERRORS, BARE_EDITS))]
             run, n = 0, len(self.words[item])
-            for i, start in enumerate(bare):
-                run = run + 1 if i and start == bare[i - 1] + 1 else 1
+            for i, (start, x) in enumerate(bare):
+                run = run + 1 if i and start == bare[i - 1][0] + 1 else 1
                 if run + min(WORDS, n) - 1 >= min(BARE_WORDS, n):
-                    out.append((item, start))
-        return out
+                    out[item, start] = x
+        # what is unaltered needs neither number nor name, nor the rest of a name that it ends in
+        for item, first, end in self.verbatim(w):
+            out |= {(item, s): (s, s + WORDS) for s in range(first, end - WORDS + 1)}
+        return [(*at, *x) for at, x in out.items()]
+
+    def _there(self, w: list[str], item: int, start: int, at: list[tuple[int, int]], errors: int, edits: float, marks: frozenset[str] = frozenset()) -> tuple[int, int] | None:
+        """First and end of what the words ``w`` hold of a window, if they do; both are its start if its names ``marks`` aren't at the place.
 
-    def _there(self, w: list[str], item: int, start: int, at: list[tuple[int, int]], errors: int, edits: float) -> bool:
-        """Whether a window is in the words ``w``; ``at``: its item's pieces that are, as sorted (place, diagonal)."""
+        ``at``: its item's pieces that ``w`` holds, as sorted (place, diagonal).
+        """
         own = self.words[item]
         size = min(WORDS, len(own))
         enough = max(1, size - PIECE + 1 - PIECE * errors)
         a, z = bisect_left(at, (start, -(10**9))), bisect_right(at, (start + size - PIECE, 10**9))
         if z - a < enough:
-            return False
+            return None
         near = Counter(d for _, d in at[a:z])
         pattern, tried = "", -(10**9)
         for d in sorted(near):
             if d - tried <= errors // 2 or sum(n for e, n in near.items() if abs(e - d) <= errors) < enough:
                 continue
             if near[d] == size - PIECE + 1:
-                return True
+                return start, start + size
             tried = d
             pattern = pattern or " ".join(own[start : start + size])
             most = int(edits * len(pattern))
             part = w[max(0, start + d - errors) : start + size + d + errors + errors // 2]
             common = len(set(part) & set(own[start : start + size]))
             if common >= LEAST_COMMON * len(set(own[start : start + size])) and all(x in part for x in own[start : start + size] if x.isdigit()) and myers(pattern, " ".join(part), most) <= most:
-                return True
-        return False
+                held = [p for p, e in at[a:z] if abs(e - d) <= errors]
+                return (held[0], held[-1] + PIECE) if marks <= {skeleton(x) for x in part} else (start, start)
+        return None
 
 
 def _names(passage: str) -> frozenset[str]:
@@ -199,6 +230,21 @@ def _names(passage: str) -> frozenset[str]:
     return frozenset(w for x in re.findall(r"(?<=[^\s.!?¿¡:;\"(]\s)[^\W\d_]\w*", passage) if x[0].isupper() for w in words_of(x))
 
 
+def _common(items: list[tuple[int, str]]) -> dict[int, list[int]]:
+    """By item the places of its words that stand in other passages too, as formulas do; not of passages of which most stands there."""
+    held: dict[int, set[int]] = defaultdict(set)
+    words = {i: words_of(p) for i, p in items}
+    for i, w in words.items():
+        for k in range(len(w) - WORDS + 1):
+            held[hash(tuple(w[k : k + WORDS]))].add(i)
+    out = {}
+    for i, w in words.items():
+        starts = [k for k in range(len(w) - WORDS + 1) if len(held[hash(tuple(w[k : k + WORDS]))]) > 1]
+        if starts and 2 * len(starts) < len(w) - WORDS + 1:
+            out[i] = sorted({x for k in starts for x in range(k, k + WORDS)})
+    return out
+
+
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, windows): each document with each item of which it holds at least one window that is no formula.
 
@@ -219,21 +265,33 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
                 out = []
                 for doc_id, text in zip(b["doc_id"], b["text"]):
                     by = defaultdict(list)
-                    for item, start in table.matches(text):
-                        by[item].append(start)
-                    out += [(doc_id, item, starts, [(item, x) in table.strong or len(table.words[item]) <= WORDS for x in starts]) for item, starts in by.items()]
-                yield pd.DataFrame(out, columns=["doc_id", "item_id", "starts", "strong"])
-
-        part = spread(documents.select("doc_id", "text").where("doc_id is not null and length(text) > 0")).mapInPandas(run, "doc_id bigint, item_id int, starts array<int>, strong array<boolean>")
+                    for item, *window in table.stretches(text):
+                        by[item].append(window)
+                    for item, at in by.items():
+                        n = len(table.words[item])
+                        out.append((doc_id, item, [(x, a, z, (item, x) in table.strong or n <= WORDS) for x, a, z in at]))
+                yield pd.DataFrame(out, columns=["doc_id", "item_id", "windows"])
+
+        texts = documents.select("doc_id", "text").where("doc_id is not null and length(text) > 0")
+        part = spread(texts).mapInPandas(run, "doc_id bigint, item_id int, windows array<struct<start:int,first:int,end:int,strong:boolean>>")
         found = part if found is None else found.unionByName(part)
     found = cut(found)
-    windows = found.select("doc_id", "item_id", F.explode(F.arrays_zip("starts", "strong")).alias("w")).select("doc_id", "item_id", F.col("w.starts").alias("start"), F.col("w.strong").alias("strong"))
-    shared = windows.groupBy("item_id", "start").agg(F.count_distinct("doc_id").alias("n"))
-    total = documents.select(F.count("*").alias("total"))
-    formulas = shared.crossJoin(F.broadcast(total)).where(F.col("n") >= F.greatest(F.lit(FORMULA_LEAST), FORMULA_SHARE * F.col("total")))
-    kept = windows.join(formulas, ["item_id", "start"], "left_anti")
-    # one window with a number and a name of the item is evidence enough; others may be chance and count by their number
-    return kept.groupBy("doc_id", "item_id").agg(F.count_distinct("start").alias("windows"), F.bool_or("strong").alias("strong")).where(F.col("strong") | (F.col("windows") >= LEAST_WINDOWS)).drop("strong")
+    windows = found.select("doc_id", "item_id", F.inline("windows"))
+    shared = windows.groupBy("item_id", "start").agg(
+        F.count_distinct("doc_id").alias("n"),
+        F.percentile("first", F.lit(0.5)).cast("int").alias("first"), F.percentile("end", F.lit(0.5)).cast("int").alias("end"),
+    )
+    total = documents.select(F.greatest(F.lit(FORMULA_LEAST), FORMULA_SHARE * F.count("*")).alias("least"))
+    formulas = shared.crossJoin(F.broadcast(total)).where(F.col("n") >= F.col("least"))
+    formulas = formulas.select("item_id", "start", F.expr("if(first < end, sequence(first, end - 1), array())").alias("words"))
+    common = items.sparkSession.createDataFrame(sorted(_common([x for block in blocks for x in block]).items()), "item_id int, common array<int>")
+    words = formulas.groupBy("item_id").agg(F.flatten(F.collect_list("words")).alias("words")).join(common, "item_id", "full").select("item_id", F.array_distinct(F.concat(F.coalesce("words", F.array()), F.coalesce("common", F.array()))).alias("formula"))
+    kept = windows.join(formulas.select("item_id", "start"), ["item_id", "start"], "left_anti").select("doc_id", "item_id", "start", "first", "end", "strong").join(words, "item_id", "left").withColumn("formula", F.coalesce("formula", F.array()))
+    kept = kept.withColumn("own", F.expr("array_except(if(first < end, sequence(first, end - 1), array()), formula)")).where("size(own) > 0 or first = end")
+    # one window with a number and a name of the item is evidence enough; others may be chance and count by their stretch of words that belong to no formula
+    pairs = kept.groupBy("doc_id", "item_id").agg(F.count_distinct("start").alias("windows"), F.bool_or("strong").alias("strong"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("own")))).alias("own"))
+    longest = "aggregate(own, (-9, 0, 0), (s, x) -> (x, if(x = s.col1 + 1, s.col2 + 1, 1), greatest(s.col3, if(x = s.col1 + 1, s.col2 + 1, 1))), s -> s.col3)"
+    return pairs.where(F.col("strong") | (F.col("windows") >= LEAST_WINDOWS) | (F.expr(longest) >= LEAST_WORDS)).select("doc_id", "item_id", "windows")
 
 
 def found(documents: DataFrame, items: DataFrame) -> DataFrame:

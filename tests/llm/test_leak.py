@@ -46,3 +46,14 @@ def test_tables(spark):
     assert {tuple(r) for r in le.found(documents, items).collect()} == {(1, 1), (2, 1)}
     assert {(r.item_id, r.n_documents) for r in le.leaked_items(documents, items).collect()} == {(1, 2)}
     assert le.found(documents.limit(0), items).count() == 0 and le.found(documents, items.limit(0)).count() == 0
+
+
+FIRST = PASSAGE.split(". ")[0].split()
+
+
+@pytest.mark.parametrize("words,expected", [(FIRST[3:24], {1}), (FIRST[13:34], {1}), (FIRST[10:28], set()), (FIRST[:19] + ["Alto", "Llaca"], set())])
+def test_about_twenty_words_are_enough(spark, words, expected):
+    # with only a name (twice); too few words; the name is another one
+    documents = spark.createDataFrame([(1, OTHER + " ".join(words) + ". " + OTHER)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a", PASSAGE)], "item_id int, suite string, passage string")
+    assert {r.item_id for r in le.found(documents, items).collect()} == expected
