@@ -8,7 +8,8 @@ budget keeps at least one piece, and by the q-gram count at least
 pieces (a hash table of all pieces of the test set); places with enough of
 them near one diagonal are verified with Myers' bit-parallel edit distance
 over characters. Formulas do not count as leaks: words that several passages
-share, and windows that many documents hold.
+share, and windows that many documents hold, most of them without most of the
+passage (windows with a number or a name: many distinct texts).
 
 The test set is the stated query set: it is sent to the executors in blocks of
 bounded size, the corpus is never shuffled, and only matches are.
@@ -263,26 +264,27 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
             table = Items(block)
             for b in batches:
                 out = []
-                for doc_id, text in zip(b["doc_id"], b["text"]):
+                for doc_id, text, text_key in zip(b["doc_id"], b["text"], b["text_key"]):
                     by = defaultdict(list)
                     for item, *window in table.stretches(text):
                         by[item].append(window)
                     for item, at in by.items():
                         n = len(table.words[item])
-                        out.append((doc_id, item, [(x, a, z, (item, x) in table.strong or n <= WORDS) for x, a, z in at]))
-                yield pd.DataFrame(out, columns=["doc_id", "item_id", "windows"])
+                        most = 2 * len({x for _, a, z in at for x in range(a, z)}) >= n
+                        out.append((doc_id, item, [(x, a, z, (item, x) in table.strong or n <= WORDS, x in table.bare.get(item, ())) for x, a, z in at], most, text_key))
+                yield pd.DataFrame(out, columns=["doc_id", "item_id", "windows", "most", "text_key"])
 
-        texts = documents.select("doc_id", "text").where("doc_id is not null and length(text) > 0")
-        part = spread(texts).mapInPandas(run, "doc_id bigint, item_id int, windows array<struct<start:int,first:int,end:int,strong:boolean>>")
+        texts = documents.select("doc_id", "text", F.xxhash64("text").alias("text_key")).where("doc_id is not null and length(text) > 0")
+        part = spread(texts).mapInPandas(run, "doc_id bigint, item_id int, windows array<struct<start:int,first:int,end:int,strong:boolean,bare:boolean>>, most boolean, text_key bigint")
         found = part if found is None else found.unionByName(part)
     found = cut(found)
-    windows = found.select("doc_id", "item_id", F.inline("windows"))
-    shared = windows.groupBy("item_id", "start").agg(
-        F.count_distinct("doc_id").alias("n"),
+    windows = found.select("doc_id", "item_id", "most", "text_key", F.inline("windows"))
+    shared = windows.groupBy("item_id", "start", "bare").agg(
+        F.count_distinct("doc_id").alias("n"), F.count_distinct(F.when(~F.col("most"), F.col("doc_id"))).alias("alone"), F.count_distinct(F.when(~F.col("most"), F.col("text_key"))).alias("texts"),
         F.percentile("first", F.lit(0.5)).cast("int").alias("first"), F.percentile("end", F.lit(0.5)).cast("int").alias("end"),
     )
     total = documents.select(F.greatest(F.lit(FORMULA_LEAST), FORMULA_SHARE * F.count("*")).alias("least"))
-    formulas = shared.crossJoin(F.broadcast(total)).where(F.col("n") >= F.col("least"))
+    formulas = shared.crossJoin(F.broadcast(total)).where((F.col("alone") >= F.col("least")) & (2 * F.col("alone") > F.col("n")) & (F.col("bare") | (F.col("texts") >= F.col("least"))))
     formulas = formulas.select("item_id", "start", F.expr("if(first < end, sequence(first, end - 1), array())").alias("words"))
     common = items.sparkSession.createDataFrame(sorted(_common([x for block in blocks for x in block]).items()), "item_id int, common array<int>")
     words = formulas.groupBy("item_id").agg(F.flatten(F.collect_list("words")).alias("words")).join(common, "item_id", "full").select("item_id", F.array_distinct(F.concat(F.coalesce("words", F.array()), F.coalesce("common", F.array()))).alias("formula"))

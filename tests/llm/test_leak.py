@@ -57,3 +57,14 @@ def test_about_twenty_words_are_enough(spark, words, expected):
     documents = spark.createDataFrame([(1, OTHER + " ".join(words) + ". " + OTHER)], "doc_id long, text string")
     items = spark.createDataFrame([(1, "a", PASSAGE)], "item_id int, suite string, passage string")
     assert {r.item_id for r in le.found(documents, items).collect()} == expected
+
+
+def test_popular_items_and_copies_are_no_formulas(spark):
+    # an item in twelve different documents, a fragment in copies of one document, and a formula of two items in few documents
+    whole = [(i, f"{OTHER} Expediente {i}. {PASSAGE}") for i in range(12)]
+    copies = [(100 + i, OTHER + " ".join(FIRST[3:32]) + ". " + OTHER) for i in range(20)]
+    formula = [(200 + i, f"Folio {i}. {FORMULA} {OTHER}") for i in range(3)]
+    documents = spark.createDataFrame(whole + copies + formula, "doc_id long, text string")
+    other = f"El caudal de estiaje medido con molinete en el sector Laricortina bajó a 37 litros por segundo durante la campaña de aforos que pidió la entidad. {FORMULA} La poza disipadora quedó sin revestir hasta la progresiva 812 por falta de cemento en los almacenes del consorcio de Pampa Vinmayo."
+    items = spark.createDataFrame([(1, "a", PASSAGE), (2, "a", other)], "item_id int, suite string, passage string")
+    assert {tuple(r) for r in le.found(documents, items).collect()} == {(d, 1) for d, _ in whole + copies}
