@@ -293,12 +293,22 @@ def fuzzy_roles(spark, d):
     return fuzzy.with_first_role(rows.withColumn("c", tx.match_candidates(F.col("cargo_detectado"))), "c", "role", DEFAULT.roles, DEFAULT.fuzzy_score)
 
 
+def _line_ngrams(pages: DataFrame) -> DataFrame:
+    k = pages.withColumn("l", tx.kept_lines(F.col("lines")))
+    parts = [k.select(*pg.KEYS, F.lit(n).alias("n"), F.posexplode(tx.ngrams(F.col("l"), n)).alias("p", "gram")) for n in (2, 3)]
+    return parts[0].unionByName(parts[1]).select(*pg.KEYS, "n", (F.col("p") + 1).cast("bigint").alias("pos"), "gram")
+
+
 @query(f"WITH @latest, k AS (SELECT doc_id, page_number, list_filter(lines, lambda x: NOT {_BLANK_X}) AS l FROM latest WHERE len(lines) <= 15) SELECT doc_id, page_number, 2 AS n, i AS pos, l[i] || ' ' || l[i + 1] AS gram FROM k, unnest(range(1, len(l))) AS u(i) UNION ALL SELECT doc_id, page_number, 3, i, l[i] || ' ' || l[i + 1] || ' ' || l[i + 2] FROM k, unnest(range(1, len(l) - 1)) AS u(i)")
 def line_ngrams(spark, d):
     """Pairs and triples of neighbouring lines of pages with few lines."""
-    k = _pages(spark, d, "lines").where(F.size("lines") <= DEFAULT.separator_lines).withColumn("l", tx.kept_lines(F.col("lines")))
-    parts = [k.select(*pg.KEYS, F.lit(n).alias("n"), F.posexplode(tx.ngrams(F.col("l"), n)).alias("p", "gram")) for n in (2, 3)]
-    return parts[0].unionByName(parts[1]).select(*pg.KEYS, "n", (F.col("p") + 1).cast("bigint").alias("pos"), "gram")
+    return _line_ngrams(_pages(spark, d, "lines").where(F.size("lines") <= DEFAULT.separator_lines))
+
+
+@query(f"WITH @latest, k AS (SELECT doc_id, page_number, list_filter(lines, lambda x: NOT {_BLANK_X}) AS l FROM latest) SELECT doc_id, page_number, 2 AS n, i AS pos, l[i] || ' ' || l[i + 1] AS gram FROM k, unnest(range(1, len(l))) AS u(i) UNION ALL SELECT doc_id, page_number, 3, i, l[i] || ' ' || l[i + 1] || ' ' || l[i + 2] FROM k, unnest(range(1, len(l) - 1)) AS u(i)")
+def ngrams(spark, d):
+    """Pairs and triples of neighbouring lines of all pages."""
+    return _line_ngrams(_pages(spark, d, "lines").where("lines is not null"))
 
 
 @query(f"WITH @latest, t AS (SELECT doc_id, page_number, text, row_number() OVER (PARTITION BY doc_id ORDER BY page_number) AS rn FROM latest WHERE engine_used <> 'error' AND length({_STRIP.format('text')}) > 0) SELECT doc_id, page_number, replace(replace(text[1:80], chr(10), ' '), '|', '\\|') AS preview FROM t WHERE rn <= 2")
