@@ -1,26 +1,35 @@
 """Problem 8: evaluation passages inside the corpus.
 
-Every test passage is cut into overlapping windows of ``WORDS`` words. With a
-budget of ``ERRORS`` altered words a window is split by the pigeonhole rule
-into one piece more than errors, of ``PIECE`` words: an occurrence within the
-budget keeps at least one piece, and by the q-gram count at least
-``WORDS - PIECE + 1 - PIECE * ERRORS`` runs of that length. Documents are scanned once for exact
-pieces (a hash table of all pieces of the test set); places with enough of
-them near one diagonal are verified with Myers' bit-parallel edit distance
-over characters. Formulas do not count as leaks: words that several passages
-share, and windows that many documents hold, most of them without most of the
-passage (windows with a number or a name: many distinct texts).
+Every stretch of ``WORDS`` words of a test passage may be altered in up to
+``ERRORS`` words. It is split by the pigeonhole rule into one piece more than
+that, of ``PIECE`` words, so an occurrence keeps at least one piece unaltered
+and, by the q-gram count, ``WORDS - PIECE + 1 - PIECE * ERRORS`` runs of that
+length. Documents are scanned once for exact pieces (a hash table of all pieces
+of the test items); hits near one diagonal are chained, and the stretches of a
+chain are verified with Myers' bit-parallel edit distance over characters.
+
+Two rules say which verified stretches count, and neither looks at what kind of
+words they hold:
+
+* A place of a document belongs to the item that shares most pieces with the
+  words around it (to several, if they share equally many), so a phrase that
+  many items use is no evidence for all of them.
+* Formulas are no leaks: sentences that several passages hold, and words of a
+  passage that many distinct texts hold without the rest of it. A document that
+  holds most of a passage never makes its words a formula, so an item may leak
+  into any number of documents, and copies of a text count once.
 
 The test set is the stated query set: it is sent to the executors in blocks of
-bounded size, the corpus is never shuffled, and only matches are.
+bounded size, one block after the other; the corpus is never shuffled, only
+verified stretches are.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from bisect import bisect_left, bisect_right
-from collections import Counter, defaultdict
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -30,24 +39,47 @@ from pyspark.sql import functions as F
 from folioscope.llm.unify import plain_form
 from folioscope.session import cut, spread
 
-WORDS, PIECE, ERRORS = 19, 3, 4
-#: Most edits of a window, as a share of its characters. Its numbers must be there, its names almost.
-EDITS = 0.2
-#: Least share of a window's words that must stand unaltered near the place.
-LEAST_COMMON = 0.6
-#: Words of the least stretch that a document must hold of an item where no window has both a number and a name; and windows that do as well, next to each other or not.
-LEAST_WORDS, LEAST_WINDOWS = 20, 12
-#: Every run of LEAST_WORDS words has a piece that begins at a multiple of this.
-STEP = LEAST_WORDS - PIECE + 1
-#: For windows without any number or name: most edits, altered words, and words of the least stretch of such windows.
-BARE_EDITS, BARE_ERRORS, BARE_WORDS = 0.15, 3, 24
-#: A window that is in this share of all documents, and in at least so many of them, is a formula.
-FORMULA_SHARE, FORMULA_LEAST = 0.001, 8
+WORDS, PIECE, ERRORS = 20, 3, 5
+#: Most edits of a stretch, as a share of its characters.
+EDITS = 0.25
+#: Least words, from the first to the last that stand unaltered or misread, that a document must hold of an item outside formulas.
+LEAST_WORDS = 20
+#: Words of a passage are a formula if so many distinct texts, and this share of all documents, hold them without most of the passage.
+FORMULA_LEAST, FORMULA_SHARE = 20, 0.005
 #: Test items that are sent to the executors at once.
 BLOCK = 5000
 
-_BROKEN = re.compile("[-­‐‑¬][ \t ]*\r?\n\\s*")
+_BROKEN = re.compile("[-­‐‑¬][ \t ]*\r?\n\\s*")
 _WORD = re.compile(r"\w+")
+_MARKS = re.compile("[̀-ͯ]+")
+_SENTENCE = re.compile(r"(?<=[.!?])\s+")
+
+
+def _folded(text: str) -> str:
+    if not text.isascii():
+        text = unicodedata.normalize("NFD", plain_form(text) or "")
+        text = _MARKS.sub("", text)
+    return text.casefold()
+
+
+def _byte_table() -> tuple[bytes, re.Pattern[bytes]]:
+    """For texts of Latin letters: each byte's folded letter, a space for what belongs to no word; and the bytes that don't fold to one byte."""
+    out, odd = bytearray(256), bytearray()
+    for i in range(256):
+        f = _folded(chr(i))
+        if len(f) == 1 and _WORD.fullmatch(f):
+            try:
+                out[i] = f.encode("latin-1")[0]
+                continue
+            except UnicodeEncodeError:
+                pass
+        out[i] = 32
+        if _WORD.search(f) or not f:
+            odd.append(i)
+    return bytes(out), re.compile(b"[" + re.escape(bytes(odd)) + b"]")
+
+
+_BYTES, _ODD = _byte_table()
 
 
 def words_of(text: str | None) -> list[str]:
@@ -55,10 +87,13 @@ def words_of(text: str | None) -> list[str]:
     if not text:
         return []
     text = _BROKEN.sub("", text)
-    if not text.isascii():
-        text = unicodedata.normalize("NFD", plain_form(text))
-        text = "".join(c for c in text if not unicodedata.combining(c)) if not text.isascii() else text
-    return _WORD.findall(text.casefold())
+    try:
+        raw = text.encode("latin-1")
+        if not _ODD.search(raw):
+            return raw.translate(_BYTES).decode("latin-1").split()
+    except UnicodeEncodeError:
+        pass
+    return _WORD.findall(_folded(text))
 
 
 def myers(pattern: str, text: str, most: int) -> int:
@@ -92,208 +127,210 @@ def myers(pattern: str, text: str, most: int) -> int:
     return best if best <= most else most + 1
 
 
-# Signs that scanning confuses, by one sign for each group.
-_GROUPS = str.maketrans({"0": "o", "1": "i", "l": "i", "5": "s", "v": "u", "c": "e", "f": "t", "9": "g", "6": "b", "8": "b", "2": "z", "h": "b"})
+class Chain:
+    """Hits (k in the document, p in the item) of one item near one diagonal, in the document's order."""
 
+    __slots__ = ("item", "ks", "ps")
 
-def skeleton(word: str) -> str:
-    """A word with the letters that scanning confuses made equal."""
-    return word.replace("rn", "m").replace("ri", "n").replace("cl", "d").translate(_GROUPS)
+    def __init__(self, item: int, k: int, p: int):
+        self.item, self.ks, self.ps = item, [k], [p]
 
 
 class Items:
-    """A block of test items with the tables of their pieces and of their numbers and names."""
-
-    def __init__(self, items: list[tuple[int, str]]):
-        self.words: dict[int, list[str]] = {}
-        self.pieces: dict[str, dict[int, list[int]]] = defaultdict(dict)
-        #: by number, or the skeleton of a name: what else must be there, and the item and starts of the windows that have just these
-        self.marked: dict[str, list[tuple[frozenset[str], frozenset[str], int, list[int]]]] = defaultdict(list)
-        #: windows with both a number and a name
-        self.strong: set[tuple[int, int]] = set()
-        #: items with windows that have neither
-        self.bare: dict[int, list[int]] = {}
-        #: of every STEP-th piece the places
-        self.anchors: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for i, passage in items:
-            w, names = words_of(passage), _names(passage)
-            self.words[i] = w
-            size = min(WORDS, len(w))
-            groups: dict[tuple[frozenset[str], frozenset[str]], list[int]] = defaultdict(list)
-            for k in range(len(w) - size + 1 if w else 0):
-                # a name at an end of the window counts with all its words
-                a, z = k, k + size
-                while a > 0 and w[a] in names and w[a - 1] in names:
-                    a -= 1
-                while z < len(w) and w[z - 1] in names and w[z] in names:
-                    z += 1
-                part = w[a:z]
-                groups[frozenset(x for x in part if x.isdigit()), frozenset(skeleton(x) for x in part if x in names and not x.isdigit())].append(k)
-            for (numbers, marks), starts in groups.items():
-                if numbers and marks:
-                    self.strong.update((i, k) for k in starts)
-                if numbers or marks:
-                    self.marked[max(numbers or marks, key=len)].append((numbers, marks, i, starts))
+    """A block of test items with the table of their pieces; items are known by their place in the block."""
+
+    def __init__(self, items: list[tuple[list[str], set[int]]]):
+        """``items``: the words of each, and the places of words that belong to formulas."""
+        self.words = [w for w, _ in items]
+        self.pieces: dict[tuple[str, str, str], list[tuple[int, int]]] = defaultdict(list)
+        for i, (w, formula) in enumerate(items):
+            for k, piece in enumerate(zip(w, w[1:], w[2:])):
+                if not (k in formula and k + PIECE - 1 in formula):
+                    self.pieces[piece].append((i, k))
+        self.pieces = dict(self.pieces)
+        #: least pieces of a stretch within the error budget, by the q-gram count
+        sizes = [min(WORDS, len(w)) for w in self.words]
+        self.least = [max(1, n - PIECE + 1 - PIECE * (n * ERRORS // WORDS)) for n in sizes]
+        self.fewest = min(self.least, default=1)
+
+    def chains(self, w: list[str]) -> list[Chain]:
+        """Chains with enough hits for a stretch within the error budget."""
+        table, least = self.pieces, self.least
+        at = [(k, hit) for k, piece in enumerate(zip(w, w[1:], w[2:])) if (hit := table.get(piece)) is not None]
+        if len(at) < self.fewest:
+            return []
+        done: list[Chain] = []
+        live: dict[int, list[Chain]] = {}
+        for k, hit in at:
+            for item, p in hit:
+                old = live.get(item)
+                if old is None:
+                    live[item] = [Chain(item, k, p)]
+                    continue
+                d, ended = p - k, False
+                for c in old:
+                    gap = k - c.ks[-1]
+                    if gap > WORDS // 2:
+                        ended = True
+                    elif gap and -ERRORS <= d - c.ps[-1] + c.ks[-1] <= ERRORS:
+                        c.ks.append(k)
+                        c.ps.append(p)
+                        break
                 else:
-                    self.bare[i] = starts
-            for k in range(len(w) - PIECE + 1):
-                self.pieces[piece := " ".join(w[k : k + PIECE])].setdefault(i, []).append(k)
-                if k % STEP == 0:
-                    self.anchors[piece].append((i, k))
-
-    def verbatim(self, w: list[str]) -> set[tuple[int, int, int]]:
-        """(item, first, end) of every run of at least LEAST_WORDS words that ``w`` holds unaltered."""
-        out = set()
-        for k in range(len(w) - PIECE + 1):
-            for i, p in self.anchors.get(f"{w[k]} {w[k + 1]} {w[k + 2]}", ()):
-                own, a, z = self.words[i], 0, PIECE
-                while a < min(p, k) and own[p - a - 1] == w[k - a - 1]:
-                    a += 1
-                while p + z < len(own) and k + z < len(w) and own[p + z] == w[k + z]:
-                    z += 1
-                if a + z >= LEAST_WORDS:
-                    out.add((i, p - a, p + z))
+                    if ended:
+                        # chains that nothing can join any more
+                        done += [c for c in old if k - c.ks[-1] > WORDS // 2 and len(c.ks) >= least[item]]
+                        live[item] = old = [c for c in old if k - c.ks[-1] <= WORDS // 2]
+                    old.append(Chain(item, k, p))
+        return done + [c for item, old in live.items() for c in old if len(c.ks) >= least[item]]
+
+    def owned(self, chains: list[Chain]) -> list[Chain]:
+        """Chains with those hits only at whose place no chain has more hits within half a stretch on either side."""
+        most: dict[int, int] = {}
+        supports = []
+        for c in chains:
+            ks, lo, hi, support = c.ks, 0, 0, []
+            for k in ks:
+                while ks[lo] < k - WORDS // 2:
+                    lo += 1
+                while hi < len(ks) and ks[hi] <= k + WORDS // 2:
+                    hi += 1
+                support.append(hi - lo)
+                if hi - lo > most.get(k, 0):
+                    most[k] = hi - lo
+            supports.append(support)
+        out = []
+        for c, support in zip(chains, supports):
+            own = [i for i, (k, n) in enumerate(zip(c.ks, support)) if n == most[k]]
+            if len(own) >= self.least[c.item]:
+                c.ks, c.ps = [c.ks[i] for i in own], [c.ps[i] for i in own]
+                out.append(c)
         return out
 
-    def matches(self, text: str | None) -> list[tuple[int, int]]:
-        """(item, start) of every window that the text holds within the allowed edits."""
-        return [(item, start) for item, start, _, _ in self.stretches(text)]
-
-    def stretches(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """(item, start, first, end) of every window that the text holds; first and end bound the words from its first to its last unaltered piece (none, if its names are elsewhere)."""
+    def held(self, text: str | None) -> dict[int, set[int]]:
+        """By item the places of its words that verified stretches hold, from their first to their last unaltered or misread word."""
         w = words_of(text)
-        held = set(w)
-        alike = {skeleton(x) for x in held}
-        asked: dict[int, list[tuple[int, frozenset[str]]]] = defaultdict(list)
-        for key in held | alike:
-            for numbers, marks, i, starts in self.marked.get(key, ()):
-                if numbers <= held and marks <= alike:
-                    asked[i] += [(s, marks) for s in starts]
-        hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for k in range(len(w) - PIECE + 1):
-            if (found := self.pieces.get(f"{w[k]} {w[k + 1]} {w[k + 2]}")) is not None:
-                for i in found if len(found) < len(asked) else asked:
-                    if i in asked or i in self.bare:
-                        for p in found.get(i, ()):
-                            hits[i].append((p, k - p))
-                if len(found) >= len(asked):
-                    for i in self.bare:
-                        if i not in asked:
-                            for p in found.get(i, ()):
-                                hits[i].append((p, k - p))
-        out: dict[tuple[int, int], tuple[int, int]] = {}
-        for item, at in hits.items():
-            at.sort()
-            out |= {(item, s): x for s, marks in asked.get(item, ()) if (x := self._there(w, item, s, at, ERRORS, EDITS, marks))}
-            # without a number or name, a longer stretch is needed: windows next to each other
-            bare = [(s, x) for s in self.bare.get(item, ()) if (x := self._there(w, item, s, at, BARE_ERRORS, BARE_EDITS))]
-            run, n = 0, len(self.words[item])
-            for i, (start, x) in enumerate(bare):
-                run = run + 1 if i and start == bare[i - 1][0] + 1 else 1
-                if run + min(WORDS, n) - 1 >= min(BARE_WORDS, n):
-                    out[item, start] = x
-        # what is unaltered needs neither number nor name, nor the rest of a name that it ends in
-        for item, first, end in self.verbatim(w):
-            out |= {(item, s): (s, s + WORDS) for s in range(first, end - WORDS + 1)}
-        return [(*at, *x) for at, x in out.items()]
-
-    def _there(self, w: list[str], item: int, start: int, at: list[tuple[int, int]], errors: int, edits: float, marks: frozenset[str] = frozenset()) -> tuple[int, int] | None:
-        """First and end of what the words ``w`` hold of a window, if they do; both are its start if its names ``marks`` aren't at the place.
-
-        ``at``: its item's pieces that ``w`` holds, as sorted (place, diagonal).
-        """
-        own = self.words[item]
+        out: dict[int, set[int]] = defaultdict(set)
+        chains = self.owned(self.chains(w))
+        # the item that each word of the document belongs to, -1 if several
+        owner: dict[int, int] = {}
+        for c in chains:
+            for k in c.ks:
+                for j in range(k, k + PIECE):
+                    owner[j] = c.item if owner.get(j, c.item) == c.item else -1
+        for c in chains:
+            if at := self.verified(w, c, owner):
+                out[c.item] |= at
+        return out
+
+    def verified(self, w: list[str], c: Chain, owner: dict[int, int]) -> set[int]:
+        own = self.words[c.item]
         size = min(WORDS, len(own))
-        enough = max(1, size - PIECE + 1 - PIECE * errors)
-        a, z = bisect_left(at, (start, -(10**9))), bisect_right(at, (start + size - PIECE, 10**9))
-        if z - a < enough:
-            return None
-        near = Counter(d for _, d in at[a:z])
-        pattern, tried = "", -(10**9)
-        for d in sorted(near):
-            if d - tried <= errors // 2 or sum(n for e, n in near.items() if abs(e - d) <= errors) < enough:
+        least = self.least[c.item]
+        out: set[int] = set()
+        pairs = sorted(zip(c.ps, c.ks))
+        ps = [p for p, _ in pairs]
+        for s in range(max(0, ps[0] - size + PIECE), min(len(own) - size, ps[-1]) + 1):
+            a, z = bisect_left(ps, s), bisect_left(ps, s + size - PIECE + 1)
+            if z - a < least:
                 continue
-            if near[d] == size - PIECE + 1:
-                return start, start + size
-            tried = d
-            pattern = pattern or " ".join(own[start : start + size])
-            most = int(edits * len(pattern))
-            part = w[max(0, start + d - errors) : start + size + d + errors + errors // 2]
-            common = len(set(part) & set(own[start : start + size]))
-            if common >= LEAST_COMMON * len(set(own[start : start + size])) and all(x in part for x in own[start : start + size] if x.isdigit()) and myers(pattern, " ".join(part), most) <= most:
-                held = [p for p, e in at[a:z] if abs(e - d) <= errors]
-                return (held[0], held[-1] + PIECE) if marks <= {skeleton(x) for x in part} else (start, start)
-        return None
-
-
-def _names(passage: str) -> frozenset[str]:
-    """Folded words that begin with a capital inside a sentence."""
-    return frozenset(w for x in re.findall(r"(?<=[^\s.!?¿¡:;\"(]\s)[^\W\d_]\w*", passage) if x[0].isupper() for w in words_of(x))
-
-
-def _common(items: list[tuple[int, str]]) -> dict[int, list[int]]:
-    """By item the places of its words that stand in other passages too, as formulas do; not of passages of which most stands there."""
-    held: dict[int, set[int]] = defaultdict(set)
-    words = {i: words_of(p) for i, p in items}
-    for i, w in words.items():
-        for k in range(len(w) - WORDS + 1):
-            held[hash(tuple(w[k : k + WORDS]))].add(i)
-    out = {}
-    for i, w in words.items():
-        starts = [k for k in range(len(w) - WORDS + 1) if len(held[hash(tuple(w[k : k + WORDS]))]) > 1]
-        if starts and 2 * len(starts) < len(w) - WORDS + 1:
-            out[i] = sorted({x for k in starts for x in range(k, k + WORDS)})
-    return out
+            if not (z - a == size - PIECE + 1 and ps[z - 1] - ps[a] == pairs[z - 1][1] - pairs[a][1] == z - a - 1):
+                diagonals = [k - p for p, k in pairs[a:z]]
+                pattern = " ".join(own[s : s + size])
+                part = w[max(0, s + min(diagonals) - 2) : s + size + max(diagonals) + 2]
+                most = int(EDITS * len(pattern))
+                if myers(pattern, " ".join(part), most) > most:
+                    continue
+            before = _extent(own[s : ps[a]][::-1], [w[j] if owner.get(j, c.item) == c.item else "" for j in range(pairs[a][1] - 1, max(-1, pairs[a][1] - 1 - size), -1)])
+            p, k = ps[z - 1] + PIECE, pairs[z - 1][1] + PIECE
+            out.update(range(ps[a] - before, p + _extent(own[p : s + size], [w[j] if owner.get(j, c.item) == c.item else "" for j in range(k, min(len(w), k + size))])))
+        return out
+
+
+def _alike(a: str, b: str) -> bool:
+    """Whether two words are the same but for some misread characters."""
+    return a == b or abs(len(a) - len(b)) <= 2 and len(a) > 3 and myers(a, b, len(a) // 3) <= len(a) // 3
+
+
+def _extent(own: list[str], w: list[str]) -> int:
+    """How many words go on beside an unaltered piece: equal or misread ones, and a single other one before an equal one; an empty word belongs to another item."""
+    n = 0
+    while n < min(len(own), len(w)):
+        if _alike(own[n], w[n]):
+            n += 1
+        elif w[n] and n + 1 < min(len(own), len(w)) and own[n + 1] == w[n + 1]:
+            n += 2
+        else:
+            break
+    return n
+
+
+def _prepared(items: DataFrame) -> DataFrame:
+    """(item_id, variant, words, formula, n): each distinct passage with the places of its sentences that other passages hold too (none for passages of which most stands elsewhere), and a running number."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for item, variant, passage in zip(b["item_id"], b["variant"], b["passage"]):
+                at = 0
+                for s in _SENTENCE.split(passage):
+                    ws = words_of(s)
+                    rows.append((item, variant, at, ws))
+                    at += len(ws)
+            yield pd.DataFrame(rows, columns=["item_id", "variant", "at", "ws"])
+
+    rows = items.where("item_id is not null and passage is not null").select("item_id", "passage").distinct().withColumn("variant", F.xxhash64("passage"))
+    sentences = rows.mapInPandas(run, "item_id int, variant bigint, at int, ws array<string>").where("size(ws) > 0")
+    said = sentences.withColumn("key", F.xxhash64("ws"))
+    shared = said.groupBy("key").agg(F.count_distinct("item_id").alias("holders"))
+    said = said.join(shared, "key").withColumn("own", F.when(F.col("holders") > 1, F.sequence("at", F.col("at") + F.size("ws") - 1)).otherwise(F.array().cast("array<int>")))
+    whole = said.groupBy("item_id", "variant").agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "ws"))), lambda x: x["ws"])).alias("words"), F.flatten(F.collect_list("own")).alias("formula"),
+    )
+    return whole.withColumn("formula", F.when(2 * F.size("formula") < F.size("words"), F.col("formula")).otherwise(F.array().cast("array<int>")))
 
 
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, windows): each document with each item of which it holds at least one window that is no formula.
+    """(doc_id, item_id, words): each document with each item of which it holds enough outside formulas, and how many words.
 
-    Null and empty texts and passages match nothing; repeated rows count once.
+    Null and empty texts and passages, and passages of fewer than ``PIECE``
+    words, match nothing; repeated rows count once; of an item with several
+    passages each counts. Extra columns are ignored.
     """
-    rows = items.where("passage is not null").select("item_id", "passage").dropDuplicates(["item_id"]).orderBy("item_id").toLocalIterator()
-    blocks: list[list[tuple[int, str]]] = [[]]
-    for r in rows:
-        if len(blocks[-1]) == BLOCK:
-            blocks.append([])
-        blocks[-1].append((r.item_id, r.passage))
+    spark = documents.sparkSession
+    ready = cut(_prepared(items))
+    n_blocks = -(-ready.count() // BLOCK)
+    texts = spread(documents.select("doc_id", "text", F.xxhash64("text").alias("text_key")).where("doc_id is not null and length(text) > 0"))
     found = None
-    for block in blocks:
+    for i in range(n_blocks):
+        block = ready.where(F.pmod(F.xxhash64("item_id", "variant"), F.lit(n_blocks)) == i).collect()
+        shared = spark.sparkContext.broadcast([(r.item_id, r.variant, list(r.words), set(r.formula)) for r in block])
 
-        def run(batches: Iterator[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
-            table = Items(block)
+        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            known = shared.value
+            table = Items([(w, f) for _, _, w, f in known])
             for b in batches:
                 out = []
                 for doc_id, text, text_key in zip(b["doc_id"], b["text"], b["text_key"]):
-                    by = defaultdict(list)
-                    for item, *window in table.stretches(text):
-                        by[item].append(window)
-                    for item, at in by.items():
-                        n = len(table.words[item])
-                        most = 2 * len({x for _, a, z in at for x in range(a, z)}) >= n
-                        out.append((doc_id, item, [(x, a, z, (item, x) in table.strong or n <= WORDS, x in table.bare.get(item, ())) for x, a, z in at], most, text_key))
-                yield pd.DataFrame(out, columns=["doc_id", "item_id", "windows", "most", "text_key"])
-
-        texts = documents.select("doc_id", "text", F.xxhash64("text").alias("text_key")).where("doc_id is not null and length(text) > 0")
-        part = spread(texts).mapInPandas(run, "doc_id bigint, item_id int, windows array<struct<start:int,first:int,end:int,strong:boolean,bare:boolean>>, most boolean, text_key bigint")
+                    for item, at in table.held(text).items():
+                        item_id, variant, ws, _ = known[item]
+                        out.append((doc_id, text_key, item_id, variant, sorted(at), 2 * len(at) >= len(ws), min(LEAST_WORDS, len(ws))))
+                yield pd.DataFrame(out, columns=["doc_id", "text_key", "item_id", "variant", "at", "most", "least"])
+
+        # written at once, so only one block is on the driver at a time
+        part = cut(texts.mapInPandas(run, "doc_id bigint, text_key bigint, item_id int, variant bigint, at array<int>, most boolean, least int"))
         found = part if found is None else found.unionByName(part)
-    found = cut(found)
-    windows = found.select("doc_id", "item_id", "most", "text_key", F.inline("windows"))
-    shared = windows.groupBy("item_id", "start", "bare").agg(
-        F.count_distinct("doc_id").alias("n"), F.count_distinct(F.when(~F.col("most"), F.col("doc_id"))).alias("alone"), F.count_distinct(F.when(~F.col("most"), F.col("text_key"))).alias("texts"),
-        F.percentile("first", F.lit(0.5)).cast("int").alias("first"), F.percentile("end", F.lit(0.5)).cast("int").alias("end"),
-    )
-    total = documents.select(F.greatest(F.lit(FORMULA_LEAST), FORMULA_SHARE * F.count("*")).alias("least"))
-    formulas = shared.crossJoin(F.broadcast(total)).where((F.col("alone") >= F.col("least")) & (2 * F.col("alone") > F.col("n")) & (F.col("bare") | (F.col("texts") >= F.col("least"))))
-    formulas = formulas.select("item_id", "start", F.expr("if(first < end, sequence(first, end - 1), array())").alias("words"))
-    common = items.sparkSession.createDataFrame(sorted(_common([x for block in blocks for x in block]).items()), "item_id int, common array<int>")
-    words = formulas.groupBy("item_id").agg(F.flatten(F.collect_list("words")).alias("words")).join(common, "item_id", "full").select("item_id", F.array_distinct(F.concat(F.coalesce("words", F.array()), F.coalesce("common", F.array()))).alias("formula"))
-    kept = windows.join(formulas.select("item_id", "start"), ["item_id", "start"], "left_anti").select("doc_id", "item_id", "start", "first", "end", "strong").join(words, "item_id", "left").withColumn("formula", F.coalesce("formula", F.array()))
-    kept = kept.withColumn("own", F.expr("array_except(if(first < end, sequence(first, end - 1), array()), formula)")).where("size(own) > 0 or first = end")
-    # one window with a number and a name of the item is evidence enough; others may be chance and count by their stretch of words that belong to no formula
-    pairs = kept.groupBy("doc_id", "item_id").agg(F.count_distinct("start").alias("windows"), F.bool_or("strong").alias("strong"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("own")))).alias("own"))
-    longest = "aggregate(own, (-9, 0, 0), (s, x) -> (x, if(x = s.col1 + 1, s.col2 + 1, 1), greatest(s.col3, if(x = s.col1 + 1, s.col2 + 1, 1))), s -> s.col3)"
-    return pairs.where(F.col("strong") | (F.col("windows") >= LEAST_WINDOWS) | (F.expr(longest) >= LEAST_WORDS)).select("doc_id", "item_id", "windows")
+    if found is None:
+        return spark.createDataFrame([], "doc_id bigint, item_id int, words int")
+    total = documents.count()
+    least = max(FORMULA_LEAST, FORMULA_SHARE * total)
+    # one row for each distinct text and item, so that copies of a text are no formula
+    once = found.select("text_key", "item_id", "variant", "most", "at").dropDuplicates(["text_key", "item_id", "variant"])
+    counted = once.select("item_id", "variant", "most", F.explode("at").alias("x")).groupBy("item_id", "variant", "x").agg(F.count_if(~F.col("most")).alias("alone"), F.count("*").alias("n"))
+    formula = counted.where((F.col("alone") >= least) & (2 * F.col("alone") > F.col("n"))).groupBy("item_id", "variant").agg(F.collect_list("x").alias("formula"))
+    own = found.join(formula, ["item_id", "variant"], "left").withColumn("own", F.array_except("at", F.coalesce("formula", F.array().cast("array<int>"))))
+    longest = "aggregate(array_sort(own), (-9, 0, 0), (s, x) -> (x, if(x = s.col1 + 1, s.col2 + 1, 1), greatest(s.col3, if(x = s.col1 + 1, s.col2 + 1, 1))), s -> s.col3)"
+    return own.where(F.expr(longest) >= F.col("least")).groupBy("doc_id", "item_id").agg(F.max(F.size("own")).alias("words"))
 
 
 def found(documents: DataFrame, items: DataFrame) -> DataFrame:
