@@ -31,7 +31,9 @@ import unicodedata
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -147,7 +149,9 @@ class Items:
             for k, piece in enumerate(zip(w, w[1:], w[2:])):
                 if not (k in formula and k + PIECE - 1 in formula):
                     self.pieces[piece].append((i, k))
-        self.pieces = dict(self.pieces)
+        self.pieces = {piece: (np.array([i for i, _ in at]), np.array([p for _, p in at])) for piece, at in self.pieces.items()}
+        #: by item the characters before each word, spaces included
+        self.chars = [[0, *accumulate(len(x) + 1 for x in w)] for w in self.words]
         #: least pieces of a stretch within the error budget, by the q-gram count
         sizes = [min(WORDS, len(w)) for w in self.words]
         self.least = [max(1, n - PIECE + 1 - PIECE * (n * ERRORS // WORDS)) for n in sizes]
@@ -159,29 +163,38 @@ class Items:
         at = [(k, hit) for k, piece in enumerate(zip(w, w[1:], w[2:])) if (hit := table.get(piece)) is not None]
         if len(at) < self.fewest:
             return []
+        ks = np.repeat(np.array([k for k, _ in at]), [len(hit[0]) for _, hit in at])
+        items, ps = np.concatenate([hit[0] for _, hit in at]), np.concatenate([hit[1] for _, hit in at])
+        # a chain's hits lie on few diagonals: those of an item with too few hits around theirs are left out first
+        band = items.astype(np.int64) << 32 | (ps - ks + (1 << 20)) // (2 * ERRORS)
+        bands, back, n = np.unique(band, return_inverse=True, return_counts=True)
+        near = n.copy()
+        beside = np.flatnonzero(np.diff(bands) == 1)
+        near[beside] += n[beside + 1]
+        near[beside + 1] += n[beside]
+        keep = near[back] >= self.fewest
         done: list[Chain] = []
         live: dict[int, list[Chain]] = {}
-        for k, hit in at:
-            for item, p in hit:
-                old = live.get(item)
-                if old is None:
-                    live[item] = [Chain(item, k, p)]
-                    continue
-                d, ended = p - k, False
-                for c in old:
-                    gap = k - c.ks[-1]
-                    if gap > WORDS // 2:
-                        ended = True
-                    elif gap and -ERRORS <= d - c.ps[-1] + c.ks[-1] <= ERRORS:
-                        c.ks.append(k)
-                        c.ps.append(p)
-                        break
-                else:
-                    if ended:
-                        # chains that nothing can join any more
-                        done += [c for c in old if k - c.ks[-1] > WORDS // 2 and len(c.ks) >= least[item]]
-                        live[item] = old = [c for c in old if k - c.ks[-1] <= WORDS // 2]
-                    old.append(Chain(item, k, p))
+        for k, item, p in zip(ks[keep].tolist(), items[keep].tolist(), ps[keep].tolist()):
+            old = live.get(item)
+            if old is None:
+                live[item] = [Chain(item, k, p)]
+                continue
+            d, ended = p - k, False
+            for c in old:
+                gap = k - c.ks[-1]
+                if gap > WORDS // 2:
+                    ended = True
+                elif gap and -ERRORS <= d - c.ps[-1] + c.ks[-1] <= ERRORS:
+                    c.ks.append(k)
+                    c.ps.append(p)
+                    break
+            else:
+                if ended:
+                    # chains that nothing can join any more
+                    done += [c for c in old if k - c.ks[-1] > WORDS // 2 and len(c.ks) >= least[item]]
+                    live[item] = old = [c for c in old if k - c.ks[-1] <= WORDS // 2]
+                old.append(Chain(item, k, p))
         return done + [c for item, old in live.items() for c in old if len(c.ks) >= least[item]]
 
     def owned(self, chains: list[Chain]) -> list[Chain]:
@@ -223,6 +236,20 @@ class Items:
                 out[c.item] |= at
         return out
 
+    def most_edits(self, item: int, s: int, size: int, pairs: list[tuple[int, int]], w: list[str]) -> int:
+        """A bound of a stretch's distance: all characters between unaltered pieces; often small enough without a table."""
+        chars = self.chars[item]
+        p, k = pairs[0]
+        edits = chars[p] - chars[s]
+        for q, j in pairs[1:]:
+            if q - p != j - k or q - p > PIECE:
+                if j < k:
+                    return 1 << 30
+                # from the first word that the piece before doesn't hold to this piece
+                edits += max(chars[q] - chars[min(q, p + PIECE)], sum(len(x) + 1 for x in w[min(j, k + PIECE) : j])) + (abs((q - p) - (j - k)) * 20 if min(q - p, j - k) < PIECE else 0)
+            p, k = q, j
+        return edits + chars[s + size] - chars[p + PIECE]
+
     def verified(self, w: list[str], c: Chain, owner: dict[int, int]) -> set[int]:
         own = self.words[c.item]
         size = min(WORDS, len(own))
@@ -234,7 +261,7 @@ class Items:
             a, z = bisect_left(ps, s), bisect_left(ps, s + size - PIECE + 1)
             if z - a < least:
                 continue
-            if not (z - a == size - PIECE + 1 and ps[z - 1] - ps[a] == pairs[z - 1][1] - pairs[a][1] == z - a - 1):
+            if self.most_edits(c.item, s, size, pairs[a:z], w) > int(EDITS * (self.chars[c.item][s + size] - self.chars[c.item][s] - 1)):
                 diagonals = [k - p for p, k in pairs[a:z]]
                 pattern = " ".join(own[s : s + size])
                 part = w[max(0, s + min(diagonals) - 2) : s + size + max(diagonals) + 2]
