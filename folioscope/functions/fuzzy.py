@@ -33,13 +33,17 @@ def ratio(a: str, b: str) -> float:
     return 200.0 * common_subsequence(a, b) / total if total else 100.0
 
 
+@lru_cache(maxsize=8)
+def _sorted_roles(roles: tuple[str, ...]) -> tuple[tuple[str, str], ...]:
+    return tuple((r, token_sorted(r)) for r in roles)
+
+
 @lru_cache(maxsize=50_000)
 def best_role(candidate: str, roles: tuple[str, ...], least: float) -> str | None:
     """The most similar role of at least ``least``, the first of equals. Lengths alone rule out most."""
     text = token_sorted(candidate)
     best, found = least - 1e-9, None
-    for role in roles:
-        sorted_role = token_sorted(role)
+    for role, sorted_role in _sorted_roles(roles):
         # the common part is at most the shorter one
         if 200.0 * min(len(text), len(sorted_role)) < best * (len(text) + len(sorted_role)):
             continue
@@ -56,7 +60,8 @@ def with_first_role(df: DataFrame, candidates: str, name: str, roles: Sequence[s
 
     def one(items) -> str | None:
         for c in items if items is not None else ():
-            if c is not None and len(c) < 2000 and (role := best_role(c, fixed, least)) is not None:
+            # long texts hardly come twice
+            if c is not None and (role := (best_role if len(c) < 500 else best_role.__wrapped__)(c, fixed, least)) is not None:
                 return role
         return None
 

@@ -156,5 +156,40 @@ def polygon(points: Column) -> Column:
     return F.array_join(F.transform(points, lambda p: F.concat(F.lit("("), p[0].cast("string"), F.lit(","), p[1].cast("string"), F.lit(")"))), " → ")
 
 
+def box(corners: Column) -> Column:
+    """``x1,y1,x2,y2`` of an array of two or more points."""
+    return F.array_join(F.transform(F.flatten(corners), lambda x: x.cast("string")), ",")
+
+
+def fixed(c: Column, digits: int) -> Column:
+    """A number with so many digits after the point, rounded half to even on its exact binary value; ``nan`` for no number.
+
+    The shortest decimal text decides unless it lies just between two results;
+    then the number's mantissa, an integer, is compared with the middle exactly.
+    For numbers below a thousand million.
+    """
+    unit = 10**digits
+
+    def of(a: Column) -> Column:
+        scaled = a.cast("decimal(27,17)") * F.lit(unit).cast(f"decimal({digits + 1},0)")
+        # the power of two that makes the number an integer
+        k = F.when(a > 0, F.lit(53) - F.floor(F.log2(a)).cast("int")).otherwise(F.lit(0))
+        return F.struct(F.floor(scaled).cast("bigint").alias("low"), (scaled - F.floor(scaled)).alias("rest"), k.alias("k"), a.alias("a"))
+
+    def rounded(x: Column) -> Column:
+        low, rest, k = x["low"], x["rest"], x["k"]
+        power = lambda n: F.call_function("shiftleft", F.lit(1).cast("bigint"), n.cast("int")).cast("decimal(19,0)")
+        two = power(F.least(k, F.lit(60))) * power(F.greatest(F.least(k - 60, F.lit(40)), F.lit(0))).cast("decimal(13,0)")
+        exact = (x["a"] * F.pow(F.lit(2.0), k)).cast("bigint").cast("decimal(19,0)") * F.lit(unit * 10).cast(f"decimal({digits + 2},0)")
+        middle = (low * 10 + 5).cast("decimal(15,0)") * two.cast("decimal(22,0)")
+        up = F.when(rest != F.lit("0.5").cast("decimal(2,1)"), rest > F.lit("0.5").cast("decimal(2,1)")).when(exact != middle, exact > middle).otherwise(low % 2 == 1)
+        n = low + up.cast("bigint")
+        return F.concat(F.floor(n / unit).cast("bigint").cast("string"), F.lit("."), F.lpad((n % unit).cast("string"), digits, "0")) if digits else n.cast("string")
+
+    text = F.concat(F.when(c < 0, "-").otherwise(""), bind(of(F.abs(c)), rounded))
+    return F.when(F.isnan(c), "nan").otherwise(text)
+
+
 def plural(n: Column, one: str, many: str) -> Column:
+    """The word for one or for several."""
     return F.when(n == 1, one).otherwise(many)

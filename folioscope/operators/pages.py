@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.config import DEFAULT, Config
@@ -66,16 +66,20 @@ def from_recognition(raw: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """Page rows of raw recognition results (doc_id, page_number, image_path, rec_texts, rec_scores, dt_polys, angle).
 
     Missing arrays are empty and a missing angle is 0; a result without any
-    line, text and detection is an error row that keeps its page.
+    line, text and detection is an error row that keeps its page. Where the
+    results have columns ``failure`` and ``seconds``, a failure is the reason
+    of its error row and the seconds are the page's times.
     """
+    times = [F.col("seconds").alias("tiempo_paddle"), F.lit(None).cast("double").alias("tiempo_qwen"), F.coalesce("seconds", F.lit(0.0)).alias("tiempo_total")] if "seconds" in raw.columns else []
+    failure = F.col("failure") if "failure" in raw.columns else F.lit(None).cast("string")
     texts = F.coalesce("rec_texts", F.array().cast("array<string>"))
     pairs = raw.withColumn("__p", kept_pairs(texts, F.col("rec_scores").cast("array<string>"))).withColumn("det_count", F.coalesce(F.size("dt_polys"), F.lit(0))).withColumn("rec_count", F.size(texts))
     pairs = pairs.withColumn("det_count", F.greatest("det_count", F.lit(0))).withColumn("lines", F.transform("__p", lambda p: p["text"])).withColumn("line_scores", F.filter(F.transform("__p", lambda p: p["score"]), lambda x: x.isNotNull()))
     empty = (F.col("rec_count") == 0) & (F.col("det_count") == 0)
     base = pairs.select(
-        *KEYS, "image_path", F.when(empty, "error").otherwise("paddle").alias("engine_used"), F.when(empty, "paddle_empty_result").alias("fallback_reason"),
+        *KEYS, "image_path", F.when(empty, "error").otherwise("paddle").alias("engine_used"), F.when(empty, F.coalesce(failure, F.lit("paddle_empty_result"))).alias("fallback_reason"),
         F.array_join("lines", "\n").alias("text"), "lines", "line_scores", "det_count", "rec_count",
-        discard_rate(F.col("det_count"), F.col("rec_count")).alias("tasa_descarte"), F.coalesce("angle", F.lit(0)).alias("angle_detected"), F.lit(False).alias("tiene_tabla"),
+        discard_rate(F.col("det_count"), F.col("rec_count")).alias("tasa_descarte"), F.coalesce("angle", F.lit(0)).alias("angle_detected"), F.lit(False).alias("tiene_tabla"), *times,
     )
     return score_metrics(base, "line_scores", base.columns, config)
 
@@ -91,8 +95,19 @@ def needs_second_pass(config: Config = DEFAULT) -> Column:
 
 
 def second_pass_reason(config: Config = DEFAULT) -> Column:
-    text = F.format_string("confianza baja (%.3f) y descarte alto (%.1f%%)", "conf_promedio", F.col("tasa_descarte") * 100)
-    return F.when(needs_second_pass(config), text).otherwise("")
+    """Why a page is read again; empty for pages that are not."""
+    return F.when(needs_second_pass(config), reason_text(F.col("conf_promedio"), F.col("tasa_descarte"))).otherwise("")
+
+
+def reason_text(confidence: Column, discard: Column) -> Column:
+    return F.concat(F.lit("confianza baja ("), tx.fixed(confidence, 3), F.lit(") y descarte alto ("), tx.fixed(discard * 100, 1), F.lit("%)"))
+
+
+def header_tags() -> Column:
+    """Engine with its sign, confidence where there is one, angle where the page was turned."""
+    sign = F.when(F.col("engine_used") == "paddle", "🔵 ").when(F.col("engine_used") == "qwen", "🟠 ").when(F.col("engine_used") == "error", "🔴 ").otherwise("")
+    conf = F.when(F.col("conf_promedio").isNotNull(), F.concat(F.lit(" · conf "), tx.fixed(F.col("conf_promedio"), 3))).otherwise("")
+    return F.concat(sign, "engine_used", conf, F.when(F.col("angle_detected") != 0, F.concat(F.lit(" · "), F.col("angle_detected").cast("string"), F.lit("°"))).otherwise(""))
 
 
 def legacy_advice(config: Config = DEFAULT) -> Column:
@@ -143,10 +158,33 @@ def text_by_page(pages: DataFrame, part_pages: int = 256) -> DataFrame:
     return one.groupBy("doc_id", F.floor(F.col("page_number") / part_pages).cast("int").alias("part")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("page_number", F.coalesce("text", F.lit("")).alias("text"))))).alias("texts"))
 
 
+def low_entries(config: Config = DEFAULT) -> Column:
+    """Array of (line_no, line, score) of a first-pass page's lines of low confidence; empty for other pages."""
+    zipped = F.arrays_zip(F.col("lines").alias("line"), F.col("line_scores").alias("score"))
+    numbered = F.transform(zipped, lambda z, i: F.struct((i + 1).alias("line_no"), z["line"].alias("line"), z["score"].alias("score")))
+    low = F.filter(numbered, lambda x: x["score"] < config.least_confidence)
+    return F.when((F.col("engine_used") == "paddle") & (F.col("lineas_baja_confianza") > 0), low)
+
+
 def low_lines(pages: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """Lines of low confidence of first-pass pages, with their 1-based number."""
-    rows = pages.where((F.col("engine_used") == "paddle") & (F.col("lineas_baja_confianza") > 0)).select(*KEYS, F.posexplode(F.arrays_zip(F.col("lines").alias("line"), F.col("line_scores").alias("score"))).alias("pos", "z"))
-    return rows.where(F.col("z.score") < config.least_confidence).select(*KEYS, (F.col("pos") + 1).alias("line_no"), F.col("z.line").alias("line"), F.col("z.score").alias("score"))
+    return pages.select(*KEYS, F.inline(low_entries(config)))
+
+
+def low_note(config: Config = DEFAULT) -> Column:
+    """What a report says of a page whose low lines have no scores of their own."""
+    n = F.col("lineas_baja_confianza")
+    return F.concat(F.lit("("), n.cast("string"), F.lit(" "), tx.plural(n, "línea", "líneas"), F.lit(f" bajo {config.least_confidence})"))
+
+
+def content_pages(rows: DataFrame) -> DataFrame:
+    """Pages of sections that hold content: not the separator page itself, no error, not blank. ``rows``: page_number, separator_page, engine_used, text."""
+    return rows.where((F.col("page_number") != F.col("separator_page")) & (F.col("engine_used") != "error") & ~tx.blank(F.coalesce("text", F.lit(""))))
+
+
+def first_pages(rows: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` pages of each group. Spark limits the groups before it shuffles them, so a large group is no large task."""
+    return rows.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy("page_number"))).where(F.col("__n") <= n).drop("__n")
 
 
 def histogram(pages: DataFrame, keys: Sequence[str], config: Config = DEFAULT) -> DataFrame:
@@ -160,20 +198,26 @@ def histogram(pages: DataFrame, keys: Sequence[str], config: Config = DEFAULT) -
 
 
 def line_table(raw: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """Each recognised line with its score, angle, polygon and status, by position.
+    """Each recognised line with its score, angle, polygon, box and status, by position.
 
-    ``raw``: doc_id, page_number, rec_texts, rec_scores, angles, polys; shorter
-    arrays are filled with nulls, a missing angle reads N/A.
+    ``raw``: doc_id, page_number, rec_texts, rec_scores, angles, polys and, if
+    there are any, boxes of two corners; shorter arrays are filled with nulls,
+    a missing angle reads N/A.
     """
-    zipped = F.arrays_zip(F.col("rec_texts").alias("text"), F.col("rec_scores").alias("score"), F.col("angles").alias("angle"), F.col("polys").alias("poly"))
+    zipped = F.arrays_zip(F.col("rec_texts").alias("text"), F.col("rec_scores").alias("score"), F.col("angles").alias("angle"), F.col("polys").alias("poly"), (F.col("boxes") if "boxes" in raw.columns else F.array().cast("array<array<array<int>>>")).alias("box"))
     rows = raw.select(*KEYS, F.posexplode(zipped).alias("pos", "z"))
     score = F.col("z.score").try_cast("double")
     return rows.select(
         *KEYS, (F.col("pos") + 1).alias("line_no"), F.col("z.text").alias("text"), score.alias("score"), F.coalesce(F.col("z.angle").cast("string"), F.lit("N/A")).alias("angle"),
-        tx.polygon(F.col("z.poly")).alias("polygon"), F.when(score >= config.least_confidence, "ok").otherwise("warn").alias("status"),
+        tx.polygon(F.col("z.poly")).alias("polygon"), tx.box(F.col("z.box")).alias("box"), F.when(score >= config.least_confidence, "ok").otherwise("warn").alias("status"),
     )
 
 
+def angle_counts(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """How many lines have each orientation."""
+    return raw.select(*keys, F.explode("angles").alias("angle")).groupBy(*keys, "angle").agg(F.count("*").alias("n"))
+
+
 def low_share(config: Config = DEFAULT) -> Column:
     """Percentage of recognised lines of low confidence; 0 where nothing was recognised."""
     return F.when(F.col("rec_count") > 0, F.col("lineas_baja_confianza") * 100 / F.col("rec_count")).otherwise(F.lit(0.0))

@@ -52,11 +52,14 @@ def section_pages(rows: DataFrame, trim: bool = True, config: Config = DEFAULT)
 
 def sections(rows: DataFrame, trim: bool = True, config: Config = DEFAULT) -> DataFrame:
     """(doc_id, section_index, separator_page, first, last, total_pages) of every separator; one without pages has total 0."""
-    counted = section_pages(rows, trim, config).groupBy("doc_id", "section_index").agg(F.min("page_number").alias("first"), F.max("page_number").alias("last"), F.count("*").alias("total_pages"))
+    r = running(rows, config).where("sec > 0")
+    kept = F.col("last_cut").isNull() | (F.col("last_cut") <= F.col("start")) if trim else F.lit(True)
+    page = F.when(kept, F.col("page_number"))
+    one = r.groupBy("doc_id", "sec").agg(F.max("start").alias("separator_page"), F.count_if("is_sep").alias("k"), F.min(page).alias("first"), F.max(page).alias("last"), F.count(page).alias("total_pages"))
     # separators that stand twice on a page: the earlier section is there, but empty
-    all_of = running(rows, config).where("is_sep").groupBy("doc_id", "page_number").agg(F.max("sec").alias("hi"), F.count("*").alias("k"))
-    index = all_of.select("doc_id", F.col("page_number").alias("separator_page"), F.explode(F.sequence(F.col("hi") - F.col("k").cast("int") + 1, F.col("hi"))).alias("section_index"))
-    return index.join(counted, ["doc_id", "section_index"], "left").select("doc_id", "section_index", "separator_page", "first", "last", F.coalesce("total_pages", F.lit(0)).cast("bigint").alias("total_pages"))
+    index = one.withColumn("section_index", F.explode(F.sequence(F.col("sec") - F.col("k").cast("int") + 1, F.col("sec"))))
+    own = F.col("section_index") == F.col("sec")
+    return index.select("doc_id", "section_index", "separator_page", F.when(own, F.col("first")).alias("first"), F.when(own, F.col("last")).alias("last"), F.when(own, F.col("total_pages")).otherwise(F.lit(0).cast("bigint")).alias("total_pages"))
 
 
 def orphans(rows: DataFrame, config: Config = DEFAULT) -> DataFrame:

@@ -34,13 +34,19 @@ def tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over at least as many partitions as there are cores, for costly maps over scans.
+    """``df`` over at least as many partitions as there are cores, for costly maps over scans of files.
 
     A large table has more splits than that and stays as it is; a small one in
-    a single file would otherwise keep one core busy.
+    few files would otherwise keep few cores busy. Only the number of files and
+    their size as the plan knows it are looked at; nothing runs.
     """
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if 0 < df.rdd.getNumPartitions() < n else df
+    spark = df.sparkSession
+    n, files = spark.sparkContext.defaultParallelism, len(df.inputFiles())
+    if not files or files >= n:
+        return df
+    size = int(df._jdf.queryExecution().analyzed().collectLeaves().apply(0).stats().sizeInBytes().toString())
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return df if size >= n * split else df.repartition(n)
 
 
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:

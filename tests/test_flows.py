@@ -29,7 +29,7 @@ def test_recognise_route_read_again(spark):
     first = pg.from_recognition(raw)
 
     def second_pass(routed):
-        return stages.read_again(routed, lambda: lambda path, page, size: "<think>x</think>\nuno\n\ndos\n").drop("seconds")
+        return stages.read_again(routed, lambda: lambda path, page, size: "<think>x</think>\nuno\n\ndos\n")
 
     done = {r.page_number: r for r in process.route_and_override(first, second_pass).collect()}
     assert (done[1].engine_used, done[2].engine_used, done[3].engine_used) == ("paddle", "qwen", "error")
@@ -56,7 +56,7 @@ def test_retries_end_in_an_error_row(spark):
 def test_classify_and_recorded(spark):
     pages = spark.createDataFrame([("d", 1, "a"), ("d", 2, "b")], COLUMNS)
     replies = stages.classify(pages, lambda: lambda path, page: "{}" if page == 1 else 1 / 0)
-    assert {(r.page_number, r.raw_reply) for r in replies.collect()} == {(1, "{}"), (2, None)}
+    assert {(r.page_number, r.raw_reply, r.failure) for r in replies.collect()} == {(1, "{}", None), (2, None, "api_error: division by zero")}
     assert stages.recorded(pages.limit(1), replies).count() == 1
 
 
@@ -66,14 +66,20 @@ def test_segment_flow_and_reports(spark, tmp_path):
     pages = spark.createDataFrame([make(1, "Gerente de Contrato"), make(2, "cuerpo", True), make(3, "Jefe de Supervisión"), make(4, "más | texto"), make(5, "Gerente de Contrato"), make(6, "fin")], schema)
     replies = spark.createDataFrame([], "doc_id string, page_number int, raw_reply string")
     sections, discarded = process.segment(pages, replies)
+    blocks, own, judged = process.raw_sections(pages, replies)
+    section_pages = process.consolidated_pages(blocks, own, sections)
     r = {x.cargo: x for x in sections.collect()}
     assert r["Gerente De Contrato"].n_blocks == 2 and r["Gerente De Contrato"].has_tables and r["Gerente De Contrato"].total_pages == 4
     assert discarded.count() == 0
     now = datetime(2025, 1, 2, 3, 4, 5)
     assert "0.800" in reports.write_metrics(pages, "d", str(tmp_path), now).read_text()
     assert "## Página 6" in reports.write_text(pages, "d", str(tmp_path), now).read_text()
-    assert "tipo B" in (text := reports.write_consolidation(sections, "d", str(tmp_path), now).read_text()) and "1–2; 5–6" in text
-    assert "Candidatas evaluadas: 2" in reports.write_segmentation(sections, discarded, "d", str(tmp_path), now).read_text()
+    assert "Tipo B" in (text := reports.write_consolidation(sections, section_pages, pages, "d", str(tmp_path), now).read_text()) and "1–2 · 5–6" in text
+    assert "_Página 2:_\n```\ncuerpo\n```" in text and "_Página 1:_" not in text and "- Bloque 2: páginas 5–6" in text
+    text = reports.write_segmentation(sections, section_pages, pages, judged, "d", str(tmp_path), now).read_text()
+    assert "| Candidatas evaluadas | 2 |" in text and "| Separadoras aceptadas | 3 |" in text and "_... 1 páginas más_" in text and "**Página 4:**\n\n```\nmás | texto\n```" in text
+    none = reports.write_segmentation(sections.limit(0), section_pages.limit(0), pages, judged.limit(0), "d", str(tmp_path), now).read_text()
+    assert "No se detectaron separadoras" in none and "## Secciones" not in none
     assert "Jefe De Supervisión" in reports.write_json(sections, "d", str(tmp_path / "r.json")).read_text()
     reports.write_all_json(sections, str(tmp_path / "all"))
     assert spark.read.json(str(tmp_path / "all")).count() == 2
@@ -90,6 +96,7 @@ def test_lines_layout_and_fused_flow(spark, tmp_path):
     assert done.where("page_number = 2").first().fallback_reason.startswith("paddle_exception:")
     lay = stages.layout(pages, lambda: lambda path: {"tipo": "tabla", "completion_tokens": 7} if path == "a" else 1 / 0)
     assert {(x.page_number, x.tokens) for x in lay.select("page_number", "tokens", pg.throughput(F.col("tokens"), F.col("seconds"))).collect()} == {(1, 7), (2, None)}
+    assert {x.page_number for x in pg.documents(done).select("total_pages", F.lit(1).alias("page_number")).collect()} == {1} and reports.write_document_report(done, "d", str(tmp_path), datetime(2025, 1, 2))[0].read_text().count("🔴") == 2
     metrics = spark.createDataFrame([("d", 1, [0.9, 0.4], 0.65, 0.1, 1, 2, 90)], "doc_id string, page_number int, line_scores array<double>, conf_promedio double, tasa_descarte double, lineas_baja_confianza int, rec_count int, angle_detected int")
     text = reports.write_analysis(metrics, pg.line_table(raw), "d", str(tmp_path), datetime(2025, 1, 2)).read_text()
     assert "reroute" in text and "50.0" in text and "(1,2) → (3,4)" in text
@@ -124,3 +131,60 @@ def test_stream(spark, tmp_path):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def engines(image_text, classify=None):
+    def first():
+        def model(path, page):
+            lines = image_text[page].split("\n")
+            return {"rec_texts": lines, "rec_scores": [0.5 if page == 4 else 0.95] * len(lines), "dt_polys": [[[0, 0]]] * (40 if page == 4 else len(lines))}
+
+        return model
+
+    draw = lambda: lambda pdf, page, target: bool(open(target, "w").write("i"))  # noqa: E731, SIM115
+    return process.Engines(lambda: lambda pdf: len(image_text), draw, first, lambda: lambda path, page, size: "leído de nuevo", classify, pause=0.0)
+
+
+PAGES = {1: "Gerente de Contrato", 2: "cuerpo\ndos", 3: "Jefe de Supervisión", 4: "\n".join(f"renglón {i} del acta" for i in range(20)), 5: "CALIDAD\nGESTIÓN DE CALIDAD", 6: "suelta"}
+
+
+def test_process_one_file_to_its_result(spark, tmp_path):
+    import json
+
+    (tmp_path / "entrada.pdf").write_text("x")
+    seen = lambda: lambda path, page: open(path).read() and '{"es_separadora": true, "cargo": "Jefe de supervicion", "confianza": "alta"}' if page == 3 else 1 / 0  # noqa: E731, SIM115
+    job = {"pdf_path": str(tmp_path / "entrada.pdf"), "output_dir": str(tmp_path / "out")}
+    (tmp_path / "job.json").write_text(json.dumps(job))
+    assert process.run_job(spark, str(tmp_path / "job.json"), str(tmp_path / "r.json"), engines(PAGES, seen)) == 0
+    r = json.loads((tmp_path / "r.json").read_text())
+    assert r["mode"] == "segmentation" and (r["doc"]["total_pages"], r["doc"]["pages_paddle"], r["doc"]["pages_qwen"]) == (6, 5, 1)
+    assert [(s["section_index"], s["cargo"], s["total_pages"], s["full_text"]) for s in r["secciones"]] == [(1, "Gerente De Contrato", 2, "Gerente de Contrato\n\ncuerpo\ndos"), (2, "Jefe De Supervisión", 2, "Jefe de Supervisión\n\nleído de nuevo")]
+    kinds = {x.name.split("_")[1] for x in (tmp_path / "out" / "entrada").glob("*.md")}
+    assert kinds == {"metricas", "texto", "segmentacion", "profesionales"} and not (tmp_path / "out" / "entrada" / "pages").exists()
+    (tmp_path / "job.json").write_text(json.dumps(job | {"mode": "ocr_only", "pages": [2, 1], "keep_images": True}))
+    assert process.run_job(spark, str(tmp_path / "job.json"), str(tmp_path / "r.json"), engines(PAGES)) == 0
+    r = json.loads((tmp_path / "r.json").read_text())
+    assert r["mode"] == "ocr_only" and r["full_text"] == "Gerente de Contrato\n\ncuerpo\ndos" and (tmp_path / "out" / "entrada" / "pages" / "pagina_0001.png").exists()
+
+
+def test_missing_files_raise_and_fail_jobs(spark, tmp_path):
+    import json
+
+    import pytest
+
+    with pytest.raises(FileNotFoundError):
+        process.process_document(spark, str(tmp_path / "none.pdf"), output_dir=str(tmp_path), engines=engines(PAGES))
+    (tmp_path / "empty.pdf").write_text("x")
+    with pytest.raises(RuntimeError):
+        process.process_document(spark, str(tmp_path / "empty.pdf"), output_dir=str(tmp_path), engines=engines({}))
+    (tmp_path / "job.json").write_text(json.dumps({"pdf_path": str(tmp_path / "none.pdf")}))
+    assert process.run_job(spark, str(tmp_path / "job.json"), str(tmp_path / "r.json"), engines(PAGES)) == 1
+    rows = spark.createDataFrame([(1, "a", None, str(tmp_path / "empty.pdf"), [3, 1], str(tmp_path), None), (2, "b", None, str(tmp_path / "none.pdf"), None, str(tmp_path), None)], jobs.SCHEMA)
+    pages, failed = process.documents(rows, engines(PAGES))
+    assert sorted(r.page_number for r in pages.collect()) == [1, 3] and failed.first().failure.startswith("FileNotFoundError")
+
+
+def test_second_pass_that_cannot_begin_is_an_error_row(spark):
+    pages = spark.createDataFrame([("d", 1, "p", "r")], COLUMNS + ", fallback_reason string")
+    assert stages.read_again(pages, lambda: 1 / 0).first().fallback_reason == "qwen_exception: division by zero"
+    assert stages.read_again(pages, lambda: lambda path, page, size: None).first().fallback_reason.startswith("qwen_exception: ")
