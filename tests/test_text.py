@@ -67,3 +67,19 @@ def test_first_acceptable_role(spark):
     roles = ("Gerente de Contrato", "Jefe de Supervisión")
     rows = spark.createDataFrame([(["nada", "gerente de contrat", "jefe de supervisión"],), (["zzz"],), ([],), (None,)], "c array<string>")
     assert [r.r for r in fuzzy.with_first_role(rows, "c", "r", roles, 80.0).collect()] == ["Gerente de Contrato", None, None, None]
+
+
+@pytest.mark.parametrize("digits", [1, 3, 4])
+def test_numbers_like_python(spark, digits):
+    import random
+
+    dice = random.Random(digits)
+    values = [0.8125, 0.0625, 0.1285, 0.1245, 0.25, 40.25, 0.0, 1.0, -0.0625, -1.5, 0.99995, 0.9995, 123456.78125, float("nan"), 1e-9]
+    values += [dice.choice([dice.random(), round(dice.random() * 100, digits + 1), (dice.randrange(2000) * 2 + 1) / 32, dice.randrange(10000) / 10**digits + 5 / 10 ** (digits + 1)]) for _ in range(3000)]
+    rows = spark.createDataFrame([(x,) for x in values], "x double").select("x", tx.fixed(F.col("x"), digits).alias("t")).collect()
+    assert [(r.x, r.t) for r in rows if r.t != f"{r.x:.{digits}f}"] == []
+
+
+def test_boxes_and_plurals(spark):
+    r = spark.range(1).select(tx.box(F.array(F.array(F.lit(1), F.lit(2)), F.array(F.lit(3), F.lit(4)))).alias("b"), tx.plural(F.lit(1), "a", "b").alias("one"), tx.plural(F.lit(2), "a", "b").alias("two")).first()
+    assert (r.b, r.one, r.two) == ("1,2,3,4", "a", "b")
