@@ -44,7 +44,7 @@ def spread(df: DataFrame) -> DataFrame:
     n, files = spark.sparkContext.defaultParallelism, len(df.inputFiles())
     if not files or files >= n:
         return df
-    size = int(df._jdf.queryExecution().analyzed().collectLeaves().apply(0).stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().analyzed().collectLeaves().apply(0).stats().sizeInBytes()))
     split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     return df if size >= n * split else df.repartition(n)
 

@@ -188,3 +188,13 @@ def test_second_pass_that_cannot_begin_is_an_error_row(spark):
     pages = spark.createDataFrame([("d", 1, "p", "r")], COLUMNS + ", fallback_reason string")
     assert stages.read_again(pages, lambda: 1 / 0).first().fallback_reason == "qwen_exception: division by zero"
     assert stages.read_again(pages, lambda: lambda path, page, size: None).first().fallback_reason.startswith("qwen_exception: ")
+
+
+def test_small_files_are_spread_and_other_tables_left(spark, tmp_path):
+    from folioscope.session import spread
+
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
+    n = spark.sparkContext.defaultParallelism
+    assert spread(spark.read.parquet(str(tmp_path / "one")).select("id")).rdd.getNumPartitions() == n
+    made = spark.createDataFrame([(1,)], "a int")
+    assert spread(made) is made
