@@ -1,114 +1,151 @@
 """Problem 2: text values cut before their end, in pure SQL.
 
 Word trigrams of all values are counted, in all and by how many tokens follow
-them up to the end of their value. Of each value the last trigrams are joined
-with these counts: the one nearest to the end that is frequent decides. If it
-almost never stands so near to the end of a value, the value was cut. A last
-trigram whose last word is never followed by anything and is the beginning of
-a far more frequent word in the same place is a word that was cut.
-
-Digits count by their number, so a date or an amount that lacks its last
-digits differs from whole ones. A word broken across lines is joined first.
+them up to the end of their value. Line breaks and signs are tokens like
+words, so the counts learn by themselves how pages end: page numbers, running
+lines, table rows, signatures and roles. The final trigrams of each value are
+joined with these counts:
+
+* A last trigram that is far rarer than one with a longer last word in the same
+  place ends within a word or number.
+* Else the last trigram decides, if its counts say enough: the value is cut if
+  an upper confidence bound of the trigram's share of ends is below ``RARELY``,
+  and whole if a lower bound is above. If neither, the last two tokens decide,
+  then the last word.
+* Where all of these are too rare (names), the trigrams before are asked in
+  turn whether they ever stand about so near to an end.
+
+Evidence is relative throughout, so a value is judged alike in small and large
+tables once the counts are clear. An ellipsis, a broken character and a hyphen
+at a line's end are no tokens. Numbers are known by their shape, so a date or
+an amount that lacks its last digits differs from whole ones.
 """
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.session import spread
-
-#: A trigram is frequent from so many occurrences on, and almost never terminal up to this share of them.
-FREQUENT, RARELY = 60, {"text": 0.01, "fallback_reason": 0.05}
-#: Pages of one file that end in the same line, from which on it is a running line.
-REPEATED = 3
-#: Characters at the end of a value in which its last lines are looked for.
+from folioscope.session import cut, spread
+
+#: Shares of ends below which a last trigram, and one some tokens before the end, almost never stands there.
+RARELY, NEARLY = {"text": 0.005, "fallback_reason": 0.05}, {"text": 0.01, "fallback_reason": 0.05}
+#: Width of the confidence bounds in standard deviations, and ends of other values without which nothing counts as an end.
+SURE, LEAST_ENDS = 2.0, 3
+#: How many times more often the longer word must stand in the place of a last word: if that one ends values only, and otherwise.
+LONGER, LONGER_MIXED = 5, 20
+#: Trigrams before the last one that are asked, and tokens by which their distance from the end may differ.
+BEFORE, APART = 5, 2
+#: Characters from which the last tokens are taken; where they don't hold enough, the whole value.
 TAIL = 400
-#: How many of the last trigrams are looked at, and how many times more often the whole word must occur.
-LAST, WHOLE_WORD = 9, 5
-
-# a line with a page number only; a closing line: a signature, role or office, capitals but for short words
-_PAGE_LINE = r"\n\W*\d{1,6}(\s*(/|de)\s*\d+)?\W*"
-_TITLED_LINE = r"(Ing|Arq|Firmado|Atentamente|Sr|Sra|Dr|Dra|Lic|Fdo)[.:,](,? [\pL.]{2,}){2,6}"
-_CLOSING_LINE = r"\s*\p{Lu}[\pL.:]*([, -]+(\p{Lu}[\pL.]*|del?|y|e|en|las?|los|N°|\d+))*[, -]+(\p{Lu}\pL+|\d+)"
-
-# @ names a parameter. Every branch over "counts" reads all its columns, so Spark computes the counts once.
-_QUERY = r"""
-WITH held AS (
-  SELECT doc_id, page_number, field, value, lines, source
-  FROM @pages LATERAL VIEW stack(2, 'text', text, 'fallback_reason', fallback_reason) AS field, value
-  WHERE value IS NOT NULL AND length(trim(value)) > 0),
-tokens AS (
-  SELECT doc_id, page_number, field,
-         concat(array('^', '^', '^'), regexp_extract_all(regexp_replace(lower(
-           regexp_replace(value, r'(?<=\pL)[-\x{AD}\x{2010}\x{2011}\xAC][ \t]*\r?\n\s*(?=\p{Ll})', '')), r'\p{Nd}', '0'),
-           r'\pL+|0+|[^\s\pL0]', 0)) AS t
-  FROM held),
+
+_TOKEN = r"\pL+|0(?:[.,/:+]?0+)*|(?<!\.)\.(?!\.)|\n|[^\s\pL0.…\x{FFFD}]"
+# words broken across lines are joined, digits are all the same, a line break is one sign
+_TOKENS = (
+    "regexp_extract_all(regexp_replace(translate(lower(regexp_replace({0}, r'(?<=\\pL)[-\\x{{AD}}\\x{{2010}}\\x{{2011}}\\xAC][ \\t]*\\r?\\n\\s*(?=\\p{{Ll}})', '')), '123456789', '000000000'), r'\\s*\\n\\s*|\\s+$', '\\n'), r'"
+    + _TOKEN.replace("{", "{{").replace("}", "}}")
+    + "', 0)"
+)
+_PADDED = "concat(array('^', '^', '^'), if(element_at({0}, -1) = '\\n', slice({0}, 1, size({0}) - 1), {0}))"
+_KEPT = BEFORE + APART + 3
+
+_VALUES = """
+SELECT doc_id, page_number, field, value, source
+FROM @pages LATERAL VIEW stack(2, 'text', text, 'fallback_reason', fallback_reason) AS field, value
+WHERE value IS NOT NULL AND length(trim(value)) > 0"""
+
+# a tail is enough if it holds more tokens than are kept, so that its first, perhaps partial one is not among them
+_TAILS = f"""
+SELECT doc_id, page_number, field, source, slice(p, greatest(size(p) - {_KEPT} + 1, 1), {_KEPT}) AS t
+FROM (SELECT *, {_PADDED.format("x")} AS p
+      FROM (SELECT *, if(length(value) <= {TAIL} OR size(short) > {_KEPT} + 1, short, {_TOKENS.format("value")}) AS x
+            FROM (SELECT *, {_TOKENS.format(f"substr(rtrim(value), -{TAIL})")} AS short FROM ({_VALUES}))))
+WHERE size(p) > 3"""
+
+_ENDS = ", ".join(f"count_if(k = {k}) AS e{k}" for k in range(BEFORE + APART + 1))
+_NEAR = "CASE k " + " ".join(f"WHEN {k} THEN " + " + ".join(f"e{j}" for j in range(max(0, k - APART), k + APART + 1)) for k in range(1, BEFORE + 1)) + " END"
+_BY_FIELD = lambda x: "CASE field " + " ".join(f"WHEN '{f}' THEN {v}D" for f, v in x.items()) + " END"
+
+
+def _bound(ends: str, n: str, sign: str) -> str:
+    """A confidence bound (Wilson's) of the share of ends among the other occurrences; without any, no bound at all."""
+    m, s = f"greatest({n} - 1, 0)", f"greatest({ends} - 1, 0)"
+    z = SURE * SURE
+    share = f"(({s} + {z / 2}D) {sign} {SURE}D * sqrt({s} * ({m} - {s}) / greatest({m}, 1)D + {z / 4}D)) / ({m} + {z}D)".replace("1)D", "1)")
+    return f"if({n} > 1, {share}, {'1D' if sign == '+' else '0D'})"
+
+
+def _verdict(ends: str, n: str, limit: str) -> str:
+    """False for an end, true for no end, null if the counts don't say."""
+    return f"CASE WHEN {_bound(ends, n, '-')} > {limit} AND {ends} > {LEAST_ENDS} THEN false WHEN {_bound(ends, n, '+')} <= {limit} THEN true END"
+
+
+# the keys of a trigram, of its last two tokens and of its last token; of (field, w1, w2, w3)
+_HEAD, _PAIR = "xxhash64(field, {0}, {1})", "xxhash64(field, {0})"
+_AT = lambda k, back: f"t[size(t) - 1 - {k} - {back}]"
+_KEY3 = lambda k: f"xxhash64({_HEAD.format(_AT(k, 2), _AT(k, 1))}, {_AT(k, 0)})"
+_KEY2 = f"xxhash64({_PAIR.format(_AT(0, 1))}, {_AT(0, 0)})"
+_KEY1 = f"xxhash64(field, {_AT(0, 0)})"
+
+_QUERY = f"""
+WITH tokens AS (SELECT field, {_PADDED.format("x")} AS p FROM (SELECT field, {_TOKENS.format("value")} AS x FROM ({_VALUES}))),
 trigrams AS (
-  SELECT xxhash64(field, t[i], t[i + 1]) AS head, t[i + 2] AS word, size(t) - 3 - i AS k
-  FROM tokens LATERAL VIEW explode(sequence(0, size(t) - 3)) AS i),
-counts AS (
-  SELECT head, word, count(*) AS n, array(@ends) AS ends FROM trigrams GROUP BY head, word),
-beginnings AS (
-  SELECT head, word, max(n) AS n
-  FROM (SELECT head, substr(word, 1, i) AS word, n
-        FROM (SELECT * FROM counts WHERE n >= @whole AND array_min(ends) >= 0) LATERAL VIEW explode(sequence(1, length(word) - 1, 1)) AS i
-        WHERE length(word) > 1)
-  GROUP BY head, word),
+  SELECT field, xxhash64(field, p[i - 2], p[i - 1]) AS head, xxhash64(field, p[i - 1]) AS tail, p[i] AS word
+  FROM tokens LATERAL VIEW explode(sequence(3, size(p) - 1)) AS i WHERE size(p) > 3),
+counts AS (SELECT field, head, tail, word, count(*) AS n FROM trigrams GROUP BY field, head, tail, word),
+numbers AS (
+  SELECT key, sum(n) AS n FROM counts LATERAL VIEW explode(array(xxhash64(head, word), xxhash64(tail, word), xxhash64(field, word))) AS key GROUP BY key),
+longer AS (
+  SELECT key, max(n) AS longest
+  FROM (SELECT xxhash64(head, substr(word, 1, i)) AS key, n FROM (SELECT * FROM counts WHERE n >= {LONGER} AND length(word) > 1) LATERAL VIEW explode(sequence(1, length(word) - 1)) AS i)
+  GROUP BY key),
 final AS (
-  SELECT doc_id, page_number, field, k, xxhash64(field, t[size(t) - 3 - k], t[size(t) - 2 - k]) AS head, t[size(t) - 1 - k] AS word
-  FROM tokens LATERAL VIEW explode(sequence(0, least(@last - 1, size(t) - 3))) AS k),
-near AS (
-  SELECT f.doc_id, f.page_number, f.field, f.k, c.n, c.ends[f.k] AS ends,
-         f.k = 0 AND c.n = c.ends[0] AND coalesce(b.n, 0) >= @whole * c.n AS cut_word
-  FROM final f JOIN counts c ON f.head = c.head AND f.word = c.word
-  LEFT JOIN beginnings b ON f.head = b.head AND f.word = b.word AND f.k = 0),
-judged AS (
-  SELECT doc_id, page_number, field, bool_or(cut_word) AS cut_word,
-         min_by((ends - 1) / greatest(n - 1, 1), CASE WHEN n >= @frequent AND NOT cut_word THEN k END) AS share
-  FROM near GROUP BY doc_id, page_number, field),
-running AS (
-  SELECT doc_id, line
-  FROM (SELECT doc_id, page_number, @last_line AS line FROM held WHERE field = 'text')
-  WHERE length(line) >= 8
-  GROUP BY doc_id, line HAVING count(DISTINCT page_number) >= @repeated),
-own AS (
-  SELECT doc_id, page_number, field, max(source) AS source, max(@last_line) AS line, max(CASE
-    WHEN tail RLIKE r'(\.\.\.|…|\x{FFFD})\s*$' THEN 1
-    WHEN field = 'text' AND tail RLIKE r'(\pL{5,}|S/\s*[\d,]+\.\d\d|\b(19|20)\d\d|\d\+\d{3}|@\S+\.\pL{2,7}|(?<![,.])\b\d{3,}|\d{3}\.\d{3}\.\d{3}|\pL[-\x{AD}\x{2010}\x{2011}\xAC]\s*\n\s*\pL+)\.\s*(@page)?$' THEN -1
-    WHEN field = 'text' AND tail RLIKE r'([.!?]|^\s*\p{Lu}\pL+)\s*(@page)$|^\s*\p{Lu}\pL+\s*$' THEN -1
-    WHEN field = 'text' AND tail RLIKE r'(^|\n)\s*\d+\.\d+ [^\n]* \d[\d,]*\.\d\d\s*(@page)?$' THEN -1
-    WHEN field = 'text' AND tail RLIKE r'(?i)(^|\n)\W*(p[áa]g|fol)[a-z]*[\s.:]*\d{1,6}(\s*(/|de)\s*\d+)?\W*$' THEN -1
-    WHEN field = 'text' AND tail RLIKE r'(^|\n)\s*@titled\s*(@page)?$' THEN -1
-    WHEN field = 'text' AND tail RLIKE r'(^|[.!?:)%]\s*\n)((@close|@titled)\n){0,4}@close\s*(@page)?$|^(\p{Lu}[^\n.]{0,60}\n){1,4}@close\s*$' THEN -1
-    WHEN field = 'text' AND NOT tail RLIKE r'[.:]\s*$' AND startswith(array_join(lines, '\n'), value)
-         AND substr(array_join(lines, '\n'), length(value) + 1, 1) RLIKE r'[\pL\p{Nd}]' THEN 1
-    ELSE 0 END) AS said
-  FROM (SELECT *, substr(value, -@tail) AS tail FROM held) GROUP BY doc_id, page_number, field)
-SELECT o.doc_id, o.page_number, o.field, o.source,
-       CASE WHEN o.said <> 0 THEN o.said = 1 WHEN r.line IS NOT NULL THEN false ELSE j.cut_word OR coalesce(j.share <= CASE o.field WHEN 'text' THEN @rarely_text ELSE @rarely_reason END, false) END AS cut
-FROM own o LEFT JOIN judged j ON o.doc_id <=> j.doc_id AND o.page_number <=> j.page_number AND o.field = j.field
-LEFT JOIN running r ON o.field = 'text' AND o.doc_id = r.doc_id AND o.line = r.line
+  SELECT k, {_KEY3("k")} AS key FROM @tails LATERAL VIEW explode(sequence(0, least({BEFORE + APART}, size(t) - 3))) AS k WHERE {_AT("k", 0)} <> '^'
+  UNION ALL SELECT 0 AS k, key FROM @tails LATERAL VIEW explode(array({_KEY2}, {_KEY1})) AS key),
+ends AS (SELECT key, {_ENDS} FROM final GROUP BY key),
+known AS (SELECT e.*, n.n, l.longest FROM ends e JOIN numbers n ON e.key = n.key LEFT JOIN longer l ON e.key = l.key),
+last AS (
+  SELECT doc_id, page_number, field, source, {_AT(0, 0)} AS word, m, key, if(m = 3, transform(sequence(1, {BEFORE}), k -> if(size(t) - 3 >= k AND {_AT("k", 0)} <> '^', {_KEY3("k")}, NULL)), NULL) AS before
+  FROM @tails LATERAL VIEW posexplode(array({_KEY1}, {_KEY2}, {_KEY3(0)})) AS m0, key LATERAL VIEW explode(array(m0 + 1)) AS m),
+level AS (
+  SELECT doc_id, page_number, field, l.source, l.word, l.m, before, k.n, k.e0, k.longest, {_verdict("k.e0", "k.n", _BY_FIELD(RARELY))} AS said
+  FROM last l JOIN known k ON l.key = k.key),
+first AS (
+  SELECT doc_id, page_number, field, max(source) AS source, max(before) AS before,
+         bool_or(m = 3 AND longest >= if(2 * e0 >= n, {LONGER}, {LONGER_MIXED}) * n) AND (max(word) RLIKE r'^\\pL' OR bool_and(m <> 2 OR coalesce(said, true))) AS within,
+         max(CASE WHEN m = 3 THEN said END) AS said3, max(CASE WHEN m = 2 THEN said END) AS said2, max(CASE WHEN m = 1 AND NOT startswith(word, '0') THEN said END) AS said1
+  FROM level GROUP BY doc_id, page_number, field),
+decided AS (SELECT *, if(within, true, coalesce(said3, said2, said1)) AS cut FROM first),
+earlier AS (
+  SELECT doc_id, page_number, field, min_by(said, if(said IS NULL, NULL, k)) AS cut
+  FROM (SELECT d.doc_id, d.page_number, d.field, d.k, {_verdict("(" + _NEAR + ")", "n", _BY_FIELD(NEARLY))} AS said
+        FROM (SELECT doc_id, page_number, field, j + 1 AS k, key FROM decided LATERAL VIEW posexplode(before) AS j, key WHERE cut IS NULL AND key IS NOT NULL) d JOIN known x ON d.key = x.key)
+  GROUP BY doc_id, page_number, field)
+SELECT d.doc_id, d.page_number, d.field, d.source, coalesce(d.cut, e.cut, false) AS cut
+FROM decided d LEFT JOIN earlier e ON d.cut IS NULL AND d.doc_id <=> e.doc_id AND d.page_number <=> e.page_number AND d.field = e.field
 """
 
 
+def _sql(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
+    """A query over tables written @name; braces are part of its patterns."""
+    text = text.replace("{", "{{").replace("}", "}}")
+    for name in tables:
+        text = text.replace(f"@{name}", f"{{{name}}}")
+    return spark.sql(text, **tables)
+
+
 def judged(pages: DataFrame) -> DataFrame:
-    """(doc_id, page_number, field, source, cut) of every non-blank value of the two fields.
+    """(doc_id, page_number, field, source, cut) of every value of the two fields that holds a word, number or sign.
 
-    Null and blank values have no row and repeated deliveries one. What the end
-    of a value shows by itself comes first: an ellipsis or a broken character,
-    a full stop after a word, lines that go on within the word, or a closing
-    line with a signature. Needs doc_id, page_number, text, fallback_reason,
-    lines and source; other columns are ignored.
+    Null and blank values have no row and repeated deliveries one. A value
+    whose last tokens stand nowhere else counts as whole. Needs doc_id,
+    page_number, text, fallback_reason and source; other columns are ignored.
     """
-    text = _QUERY.replace("{", "{{").replace("}", "}}")
-    # the last line that is no page number
-    text = text.replace("@last_line", "substring_index(rtrim(regexp_replace(substr(value, -@tail), r'(@page)\\s*$', '')), '\\n', -1)")
-    values = {"tail": TAIL, "titled": _TITLED_LINE.replace("{", "{{").replace("}", "}}"), "page": _PAGE_LINE.replace("{", "{{").replace("}", "}}"), "close": _CLOSING_LINE.replace("{", "{{").replace("}", "}}"), "pages": "{pages}", "whole": WHOLE_WORD, "last": LAST, "frequent": FREQUENT, "rarely_text": RARELY["text"], "rarely_reason": RARELY["fallback_reason"], "repeated": REPEATED, "ends": ", ".join(f"count_if(k = {k})" for k in range(LAST))}
-    text = re.sub(r"@([a-z_]+)", lambda m: str(values[m[1]]) if m[1] in values else m[0], text)
-    return pages.sparkSession.sql(text, pages=spread(pages.select("doc_id", "page_number", "text", "fallback_reason", "lines", "source")))
+    spark = pages.sparkSession
+    values = spread(pages.select("doc_id", "page_number", "text", "fallback_reason", "source"))
+    # a few tokens of each value, read several times
+    tails = cut(_sql(spark, _TAILS, pages=values))
+    return _sql(spark, _QUERY, pages=values, tails=tails)
 
 
 def found(pages: DataFrame) -> DataFrame:
