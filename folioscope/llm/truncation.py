@@ -39,14 +39,45 @@ BEFORE, APART = 5, 2
 #: Characters from which the last tokens are taken; where they don't hold enough, the whole value.
 TAIL = 400
 
-_TOKEN = r"\pL+|0(?:[.,/:+]?0+)*|(?<!\.)\.(?!\.)|\n|[^\s\pL0.…\x{FFFD}]"
+_TOKEN = r"\pL+|0(?:[.,/:+]?0+)*|(?<!\.)\.(?!\.)|\n(?=.)|[^\s\pL0.…\x{FFFD}]"
 # words broken across lines are joined, digits are all the same, a line break is one sign
 _TOKENS = (
-    "regexp_extract_all(regexp_replace(translate(lower(regexp_replace({0}, r'(?<=\\pL)[-\\x{{AD}}\\x{{2010}}\\x{{2011}}\\xAC][ \\t]*\\r?\\n\\s*(?=\\p{{Ll}})', '')), '123456789', '000000000'), r'\\s*\\n\\s*|\\s+$', '\\n'), r'"
+    "regexp_extract_all(regexp_replace(translate(lower(regexp_replace({0}, r'(?<=\\pL)[-\\x{{AD}}\\x{{2010}}\\x{{2011}}\\xAC][ \\t]*\\r?\\n\\s*(?=\\p{{Ll}})', '')), '123456789', '000000000'), r'\\s*\\n\\s*', '\\n'), r'"
     + _TOKEN.replace("{", "{{").replace("}", "}}")
     + "', 0)"
 )
-_PADDED = "concat(array('^', '^', '^'), if(element_at({0}, -1) = '\\n', slice({0}, 1, size({0}) - 1), {0}))"
+_PADDED = "concat(array('^', '^', '^'), {0})"
+_KEPT = BEFORE + APART + 3
+
+_VALUES = """
+SELECT doc_id, page_number, field, value, source
+FROM @pages LATERAL VIEW stack(2, 'text', text, 'fallback_reason', fallback_reason) AS field, value
+WHERE value IS NOT NULL AND length(trim(value)) > 0"""
+
+# A tail is enough if it holds more tokens than are kept, so that its first, perhaps partial one is not among them.
+# Exploding an array of one value binds it, so that what it is made of is not computed for each use.
+_TAILS = f"""
+SELECT doc_id, page_number, field, source, slice(p, greatest(size(p) - {_KEPT} + 1, 1), {_KEPT}) AS t
+FROM (SELECT *, {_PADDED.format("if(length(value) <= " + str(TAIL) + " OR size(short) > " + str(_KEPT) + " + 1, short, " + _TOKENS.format("value") + ")")} AS q
+      FROM ({_VALUES}) LATERAL VIEW explode(array({_TOKENS.format(f"substr(rtrim(value), -{TAIL})")})) AS short) LATERAL VIEW explode(array(q)) AS p
+WHERE size(p) > 3"""
+
+_ENDS = 2.0, 3
+#: How many times more often the longer word must stand in the place of a last word: if that one ends values only, and otherwise.
+LONGER, LONGER_MIXED = 5, 20
+#: Trigrams before the last one that are asked, and tokens by which their distance from the end may differ.
+BEFORE, APART = 5, 2
+#: Characters from which the last tokens are taken; where they don't hold enough, the whole value.
+TAIL = 400
+
+_TOKEN = r"\pL+|0(?:[.,/:+]?0+)*|(?<!\.)\.(?!\.)|\n(?=.)|[^\s\pL0.…\x{FFFD}]"
+# words broken across lines are joined, digits are all the same, a line break is one sign
+_TOKENS = (
+    "regexp_extract_all(regexp_replace(translate(lower(regexp_replace({0}, r'(?<=\\pL)[-\\x{{AD}}\\x{{2010}}\\x{{2011}}\\xAC][ \\t]*\\r?\\n\\s*(?=\\p{{Ll}})', '')), '123456789', '000000000'), r'\\s*\\n\\s*', '\\n'), r'"
+    + _TOKEN.replace("{", "{{").replace("}", "}}")
+    + "', 0)"
+)
+_PADDED = "concat(array('^', '^', '^'), {0})"
 _KEPT = BEFORE + APART + 3
 
 _VALUES = """
@@ -88,16 +119,16 @@ _KEY2 = f"xxhash64({_PAIR.format(_AT(0, 1))}, {_AT(0, 0)})"
 _KEY1 = f"xxhash64(field, {_AT(0, 0)})"
 
 _QUERY = f"""
-WITH tokens AS (SELECT field, {_PADDED.format("x")} AS p FROM (SELECT field, {_TOKENS.format("value")} AS x FROM ({_VALUES}))),
+WITH tokens AS (SELECT field, p FROM ({_VALUES}) LATERAL VIEW explode(array({_PADDED.format(_TOKENS.format("value"))})) AS p),
 trigrams AS (
   SELECT field, xxhash64(field, p[i - 2], p[i - 1]) AS head, xxhash64(field, p[i - 1]) AS tail, p[i] AS word
-  FROM tokens LATERAL VIEW explode(sequence(3, size(p) - 1)) AS i WHERE size(p) > 3),
+  FROM tokens LATERAL VIEW explode(sequence(3, greatest(size(p), 4) - 1)) AS i WHERE i < size(p)),
 counts AS (SELECT field, head, tail, word, count(*) AS n FROM trigrams GROUP BY field, head, tail, word),
 numbers AS (
   SELECT key, sum(n) AS n FROM counts LATERAL VIEW explode(array(xxhash64(head, word), xxhash64(tail, word), xxhash64(field, word))) AS key GROUP BY key),
 longer AS (
   SELECT key, max(n) AS longest
-  FROM (SELECT xxhash64(head, substr(word, 1, i)) AS key, n FROM (SELECT * FROM counts WHERE n >= {LONGER} AND length(word) > 1) LATERAL VIEW explode(sequence(1, length(word) - 1)) AS i)
+  FROM (SELECT xxhash64(head, substr(word, 1, i)) AS key, n FROM (SELECT * FROM counts WHERE n >= {LONGER}) LATERAL VIEW explode(sequence(1, greatest(length(word) - 1, 1))) AS i)
   GROUP BY key),
 final AS (
   SELECT k, {_KEY3("k")} AS key FROM @tails LATERAL VIEW explode(sequence(0, least({BEFORE + APART}, size(t) - 3))) AS k WHERE {_AT("k", 0)} <> '^'
