@@ -42,6 +42,8 @@ HEADS = {
     "inspector": ["insp", "inspectora", "inspeccion"],
     "monitor": ["mon", "monit", "monitora", "monitoreo"],
 }
+#: Reference entries in one trie, and shares into which the rows of a value are spread.
+BLOCK, SALTS = 20_000, 16
 _POST = re.compile(r"[\s,;(-]*\b(?:n(?:ro|[uú]m(?:ero)?|o)?\s*[°º.]*|#)\s*\d+\s*\)?\s*$", re.I)
 _TRAIL = re.compile(r"(?:[\s,;.(-]*\b(?:propuest[oa]|titular|suplente|altern[oa]|(?:lote|tramo|item|ítem|frente|grupo)\s*\d+)\b[\s).]*)+$", re.I)
 _LEAD = re.compile(r"^\s*(?:(?:\d+\s*[.)-]+|cargo\s*:|puesto\s*:|rol\s*:|profesional\s+clave\s*:?|personal\s+clave\s*:?|el\s+|la\s+)\s*)+", re.I)
@@ -86,6 +88,8 @@ class Trie:
             for path, most in self._paths(text):
                 self._add(spell(path), cargo_id, most)
         self.deepest = max((m for e in self.ends for _, m in e), default=0)
+        #: letters of the longest value that may be near an entry
+        self.longest = max((len(spell(path)) for _, text in entries for path, _ in self._paths(text)), default=0) + self.deepest
 
     @staticmethod
     def _paths(text: str) -> set[tuple[str, int]]:
@@ -176,44 +180,59 @@ def tries(entries: tuple[tuple[int, str], ...]) -> tuple[Trie, Trie]:
 
 
 def match(value: str | None, trie: tuple[Trie, ...]) -> list[tuple[int, int]]:
-    """All entries within their distance, nearest first; none for an empty value."""
+    """All entries within their distance, as (entry, distance), nearest first; none for an empty value.
+
+    Entries that are near only where confused letter groups count as equal
+    come after those that are near as they are written.
+    """
+    return [(cargo_id, e) for _, e, cargo_id in ranked(value, trie)]
+
+
+def ranked(value: str | None, trie: tuple[Trie, ...]) -> list[tuple[int, int, int]]:
+    """(level, distance, entry) of all entries within their distance; the level is the place of the first trie that has it."""
     text = clean_value(value or "")
     forms = [text]
     if (bare := _TITLE.sub("", text)) != text:
         forms.append(bare)
-    best: dict[int, int] = {}
+    best: dict[int, tuple[int, int]] = {}
     for word in {_letters(f) for f in forms} - {""}:
-        if len(word) > 160:
-            continue  # no entry with its errors is that long
-        hits = trie[0].search(word, 0) or trie[0].search(word)
-        for other in trie[1:]:
-            hits = hits or other.search(word)
-        for cargo_id, e in hits.items():
-            best[cargo_id] = min(e, best.get(cargo_id, 99))
-    return sorted(best.items(), key=lambda x: (x[1], x[0]))
+        for level, t in enumerate(trie):
+            if len(t.spell(word)) <= t.longest:
+                for cargo_id, e in t.search(word).items():
+                    best[cargo_id] = min((level, e), best.get(cargo_id, (99, 99)))
+    return sorted((level, e, cargo_id) for cargo_id, (level, e) in best.items())
 
 
 def map_values(values: DataFrame, reference: DataFrame) -> DataFrame:
     """Each distinct non-empty ``value`` with ``cargo_id`` (-1 without a match or with two equally near), its distance and all candidates.
 
-    ``reference`` (cargo_id, cargo_oficial) is a fixed list; it is collected, at
-    most 100,000 entries. An empty list leaves every value unmatched. Null and
-    blank values are left out.
+    ``reference`` (cargo_id, cargo_oficial) is searched in blocks of at most
+    ``BLOCK`` entries, each a trie of its own; the nearest of all blocks counts.
+    An empty list leaves every value unmatched. Null and blank values are left
+    out. Distinct values are spread over all cores, as each costs a search.
     """
-    rows = reference.select("cargo_id", "cargo_oficial").where("cargo_id is not null and cargo_oficial is not null").distinct().limit(100_001).collect()
-    if len(rows) > 100_000:
-        raise ValueError("a reference list of more than 100,000 entries needs a partitioned trie")
-    entries = tuple(sorted((r.cargo_id, r.cargo_oficial) for r in rows))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trie = tries(entries)
-        for b in batches:
-            hits = [match(v, trie) for v in b["value"]]
-            ids = [h[0][0] if h and (len(h) == 1 or h[0][1] < h[1][1]) else -1 for h in hits]
-            yield pd.DataFrame({"value": b["value"], "cargo_id": ids, "distance": [h[0][1] if i >= 0 else None for h, i in zip(hits, ids)], "candidates": [[{"cargo_id": c, "distance": d} for c, d in h] for h in hits]}).astype({"distance": "Int32"})
-
-    distinct = values.select(F.col("value").cast("string").alias("value")).where("trim(value) <> ''").distinct()
-    return distinct.mapInPandas(run, "value string, cargo_id int, distance int, candidates array<struct<cargo_id:int,distance:int>>")
+    entries = reference.select("cargo_id", "cargo_oficial").where("cargo_id is not null and cargo_oficial is not null").distinct()
+    blocks = max(1, -(-entries.count() // BLOCK))
+    n = 2 * values.sparkSession.sparkContext.defaultParallelism
+    distinct = values.select(F.col("value").cast("string").alias("value")).where("trim(value) <> ''").distinct().repartition(n, "value")
+    found = None
+    for i in range(blocks):
+        own = tuple(sorted((r.cargo_id, r.cargo_oficial) for r in entries.where(F.pmod(F.xxhash64("cargo_id"), F.lit(blocks)) == i).collect()))
+
+        def run(batches: Iterator[pd.DataFrame], own=own) -> Iterator[pd.DataFrame]:
+            trie = tries(own)
+            for b in batches:
+                yield pd.DataFrame({"value": b["value"], "hits": [[{"level": g, "distance": e, "cargo_id": c} for g, e, c in ranked(v, trie)] for v in b["value"]]})
+
+        part = distinct.mapInPandas(run, "value string, hits array<struct<level:int,distance:int,cargo_id:int>>")
+        found = part if found is None else found.unionByName(part)
+    if blocks > 1:
+        found = found.groupBy("value").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"))
+    first, second = F.get("hits", F.lit(0)), F.get("hits", F.lit(1))
+    clear = first.isNotNull() & (second.isNull() | (F.struct(first["level"], first["distance"]) < F.struct(second["level"], second["distance"])))
+    return found.select(
+        "value", F.when(clear, first["cargo_id"]).otherwise(-1).alias("cargo_id"), F.when(clear, first["distance"]).alias("distance"), F.transform("hits", lambda h: F.struct(h["cargo_id"], h["distance"])).alias("candidates")
+    )
 
 
 def _rows(separators: DataFrame, sections: DataFrame) -> DataFrame:
@@ -225,7 +244,10 @@ def _rows(separators: DataFrame, sections: DataFrame) -> DataFrame:
 def found(separators: DataFrame, sections: DataFrame, reference: DataFrame) -> DataFrame:
     """Each non-empty role with its entry of the list, -1 where the list has none."""
     rows = _rows(separators, sections)
-    return rows.join(map_values(rows, reference), "value").select("tbl", "doc_id", "row_no", "cargo_id").distinct()
+    # a value may be in a third of all rows: its rows are spread, and the mapping is repeated for each share of them
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "row_no"), F.lit(SALTS)))
+    mapped = map_values(rows, reference).select("value", "cargo_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("__salt"))
+    return salted.join(mapped, ["value", "__salt"]).select("tbl", "doc_id", "row_no", "cargo_id").distinct()
 
 
 def unmatched(separators: DataFrame, sections: DataFrame, reference: DataFrame) -> DataFrame:

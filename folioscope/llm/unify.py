@@ -3,21 +3,21 @@
 The plain form is the compatibility normalisation in composed form, with
 look-alike letters of other scripts replaced by the Latin letter they imitate,
 every kind of space replaced by the ordinary one and default-ignorable
-characters removed. The key form is the plain form after full case folding,
+characters and controls removed. Look-alikes are replaced in words that mix
+them with Latin letters or hold nothing else; words of another script stay. The key form is the plain form after full case folding,
 with runs of spaces collapsed; two texts that look the same have equal keys.
 
 The degree and ordinal signs are legitimate and stay as they are, although
 compatibility normalisation alone would turn the ordinal ones into letters.
 
-Values are normalised once per distinct value, in Arrow batches, and joined
-back, so a role repeated in a third of all rows costs one call.
+Values are normalised once per distinct value of an Arrow batch, in place: no
+row is shuffled, and a role repeated in a third of all rows costs next to nothing.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
 from functools import cache
 
 import pandas as pd
@@ -40,15 +40,32 @@ _SIMPLE = re.compile(r"[\n\x20-\x7e¡¿°ºª«»\xc0-\xff]*+")
 _OTHER = re.compile(r"[^\n\x20-\x7e¡¿°ºª«»\xc0-\xff]+")
 
 
+# Ranges of the Unicode property Default_Ignorable_Code_Point.
+_DEFAULT_IGNORABLE = [
+    (0xAD, 0xAD), (0x34F, 0x34F), (0x61C, 0x61C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F),
+    (0x3164, 0x3164), (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF), (0xFFA0, 0xFFA0), (0xFFF0, 0xFFF8), (0x1BCA0, 0x1BCA3), (0x1D173, 0x1D17A), (0xE0000, 0xE0FFF),
+]
+
+
 @cache
 def _ignorable() -> dict[int, None]:
-    """Default-ignorable code points: format characters, variation selectors, fillers, and controls that have no width."""
-    extra = [0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0, *range(0x180B, 0x1810), *range(0xFE00, 0xFE10), *range(0xE0000, 0xE1000)]
-    out = {c for c in range(0x30000) if unicodedata.category(chr(c)) == "Cf"} | set(extra)
+    """Default-ignorable code points, and controls that have no width."""
+    out = {c for a, z in _DEFAULT_IGNORABLE for c in range(a, z + 1)}
     out |= {c for c in range(0x20) if c not in (9, 10, 11, 12, 13, 0x1C, 0x1D, 0x1E, 0x1F)} | set(range(0x7F, 0xA0)) - {0x85}
     return dict.fromkeys(out)
 
 
+_LIKE = re.compile("[" + "".join(map(chr, _TO_LATIN)) + "]")
+_LETTERS = re.compile(r"\w+")
+
+
+def _latin(m: re.Match[str]) -> str:
+    """A word with its look-alikes replaced, if it mixes them with Latin letters or holds no other letters."""
+    letters = [c for c in m[0] if c.isalpha()]
+    other = [c for c in letters if ord(c) not in _TO_LATIN]
+    return m[0].translate(_TO_LATIN) if len(other) < len(letters) and (not other or any(ord(c) < 0x250 or 0x1E00 <= ord(c) < 0x1F00 for c in other)) else m[0]
+
+
 @cache
 def _spaces() -> dict[int, str]:
     out = {c: " " for c in range(0x3001) if chr(c).isspace()}
@@ -60,7 +77,9 @@ def plain_form(text: str | None) -> str | None:
     if text is None or _SIMPLE.fullmatch(text):
         return text
     text = text.translate(_spaces()).translate(_ignorable())
-    text = unicodedata.normalize("NFC", _OTHER.sub(lambda m: unicodedata.normalize("NFKC", m[0]), text)).translate(_TO_LATIN)
+    text = unicodedata.normalize("NFC", _OTHER.sub(lambda m: unicodedata.normalize("NFKC", m[0]), text))
+    if _LIKE.search(text):
+        text = _LETTERS.sub(_latin, text)
     return unicodedata.normalize("NFC", text).translate(_spaces()).translate(_ignorable())
 
 
@@ -69,9 +88,9 @@ def key_form(text: str | None) -> str | None:
     return None if text is None else " ".join(unicodedata.normalize("NFC", (plain_form(text) or "").casefold()).split())
 
 
-def _forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        yield pd.DataFrame({"__value": b["__value"], "__plain": b["__value"].map(plain_form), "__key": b["__value"].map(key_form)})
+def _forms(values: pd.Series) -> pd.DataFrame:
+    each = {v: (plain_form(v), key_form(v)) for v in values.dropna().unique()}
+    return pd.DataFrame([each.get(v, (None, None)) for v in values], columns=["plain", "key"], index=values.index)
 
 
 def unify(df: DataFrame, column: str | Column, plain: str = "plain", key: str = "key") -> DataFrame:
@@ -82,10 +101,9 @@ def unify(df: DataFrame, column: str | Column, plain: str = "plain", key: str =
     the same name.
     """
     value = F.col(column) if isinstance(column, str) else column
-    held = df.drop(plain, key).withColumn("__of", value.cast("string")) if isinstance(column, str) and column not in (plain, key) else df.withColumn("__of", value.cast("string")).drop(plain, key)
-    forms = held.select(F.col("__of").alias("__value")).where("__value is not null").distinct().mapInPandas(_forms, "__value string, __plain string, __key string")
-    out = held.join(forms, F.col("__of") == F.col("__value"), "left")
-    return out.withColumn(plain, F.col("__plain")).withColumn(key, F.col("__key")).drop("__of", "__value", "__plain", "__key")
+    rest = [c for c in df.columns if c not in (plain, key)]
+    held = df.select(*rest, F.pandas_udf(_forms, "plain string, key string")(value.cast("string")).alias("__forms"))
+    return held.select(*rest, F.col("__forms.plain").alias(plain), F.col("__forms.key").alias(key))
 
 
 def found(separators: DataFrame, sections: DataFrame) -> DataFrame:

@@ -49,3 +49,22 @@ def test_tables(spark):
     assert {tuple(r) for r in ca.found(sep, sec, ref).collect()} == {("separators", "d", 1, 1), ("separators", "d", 4, -1), ("sections", "d", 1, 2)}
     assert {(r.value, r.n_rows) for r in ca.unmatched(sep, sec, ref).collect()} == {("Portero", 1)}
     assert {r.cargo_id for r in ca.found(sep, sec, ref.limit(0)).collect()} == {-1} and ca.found(sep.limit(0), sec.limit(0), ref).count() == 0
+
+
+def test_all_entries_within_the_distance_also_beside_an_exact_one():
+    tries = ca.tries(((1, "Residente de Obra Vial"), (2, "Residente de Obra Vital"), (3, "Médico Zonal")))
+    assert ca.match("Residente de Obra Vial", tries) == [(1, 0), (2, 1)]
+
+
+def test_values_may_be_as_long_as_an_entry(spark):
+    long = "Especialista en " + " ".join(f"Materia{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(30))
+    assert ca.match(long.upper(), ca.tries(((7, long), *ENTRIES)))[0] == (7, 0)
+
+
+def test_blocks_of_entries_like_one(spark, monkeypatch):
+    values = spark.createDataFrame([("Residente de Obra Vial",), ("Esp. en Acústica",), ("jefe logística almacenes",), ("Portero",), ("Especialista en Gestion",)], "value string")
+    ref = spark.createDataFrame(list(ENTRIES), "cargo_id int, cargo_oficial string")
+    rows = lambda: {(r.value, r.cargo_id, r.distance, tuple(map(tuple, r.candidates))) for r in ca.map_values(values, ref).collect()}
+    one = rows()
+    monkeypatch.setattr(ca, "BLOCK", 2)
+    assert rows() == one and len(one) == 5

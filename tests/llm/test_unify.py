@@ -11,7 +11,8 @@ from folioscope.llm import unify as un
     "text,plain",
     [
         ("Especialista En Acústica", "Especialista En Acústica"), ("E⁠specialista", "Especialista"), ("Folio\xa0233", "Folio 233"), ("Monitor 𝐀𝐦𝐛𝐢𝐞𝐧𝐭𝐚𝐥", "Monitor Ambiental"), ("Ｐｏｒｔｅｒｏ", "Portero"),
-        ("Contadοra", "Contadora"), ("Acústica", "Acústica"), ("N° 2 Nº 3", "N° 2 Nº 3"), ("a​b\xadc", "abc"), ("", ""), (None, None), ("GUÍΑ DΕ", "GUÍA DE"), ("a　b", "a b"),
+        ("Contadοra", "Contadora"), ("Acústica", "Acústica"), ("N° 2 Nº 3", "N° 2 Nº 3"), ("a​b\xadc", "abc"), ("", ""), (None, None), ("GUÍΑ DΕ", "GUÍA DE"), ("a　b", "a b"), ("Москва Привет", "Москва Привет"),
+        ("СОСЕ Мосt", "COCE Moct"), ("a\u0600\u06dd\ufff9b", "a\u0600\u06dd\ufff9b"), ("a\u2065\ufff0\u061cb", "ab"),
     ],
 )
 def test_plain(text, plain):
