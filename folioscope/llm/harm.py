@@ -8,8 +8,8 @@ itself which sentences made the document offensive, and later points them out.
 One such model is trained for each of the labels.
 
 Training takes a bounded sample of labelled documents on the driver
-(``MOST_LABELLED``, drawn by hash when there are more); scoring is a map over
-all whole documents.
+(``MOST_LABELLED`` and ``MOST_CHARS``, drawn by hash when there are more);
+scoring is a map over all whole documents.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,8 +29,9 @@ from pyspark.sql import functions as F
 from folioscope.llm.unify import plain_form
 from folioscope.session import spread
 
-MOST_LABELLED = 20_000
-#: Shorter sentences are headings, remains of addresses and the like, and score 0.
+#: Bounds of the training sample: documents, and characters of their texts.
+MOST_LABELLED, MOST_CHARS = 20_000, 100_000_000
+#: Shorter sentences are read together with the one before, or the next one.
 LEAST_WORDS = 3
 #: Offensive documents of the sample that a feature must occur in.
 SUPPORT = 2
@@ -44,15 +46,27 @@ _LETTERS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7":
 # a capitalised word within a sentence: names of persons, places and firms are all one word
 _NAME = re.compile(r"(?<=[^\s.!?¿¡:\"(]\s)(?:[^\W\d_a-zñáéíóúü][\w]*[a-zñáéíóúü]\w*|(?:[A-Z]\.){2,}|[A-Z]\.)")
 _RUN = re.compile(r"([^\W\d_])\1+")
+_WORDS = re.compile(r"[^\W_]+")
 _BROKEN = re.compile("[-­‐‑¬][ \t]*\r?\n\\s*")
 
 
 def sentences(text: str | None) -> list[str]:
-    """Sentences of a whole text; lines that were wrapped are joined first."""
+    """Sentences of a whole text; lines that were wrapped are joined first, and short sentences to their neighbour."""
     if not text or not text.strip():
         return []
     text = _BROKEN.sub("", plain_form(text.replace("\r\n", "\n").replace("\r", "\n")) or "")
-    return [s for s in (x.strip() for x in _SENTENCE.split(text)) if s]
+    out: list[str] = []
+    short = False
+    for s in (x.strip() for x in _SENTENCE.split(text)):
+        if s:
+            few = len(_WORDS.findall(s)) < LEAST_WORDS
+            if out and (few or short):
+                out[-1] += " " + s
+            else:
+                out.append(s)
+            # the first ones may still be too short together
+            short = few and len(out) == 1 and len(_WORDS.findall(out[0])) < LEAST_WORDS
+    return out
 
 
 def words(sentence: str) -> list[str]:
@@ -76,13 +90,17 @@ def unmask(word: str, known: dict[int, dict[str, float]]) -> str:
     return max(fits, key=lambda f: (f[1], f[0]))[0] if fits else word
 
 
+@lru_cache(maxsize=200_000)
+def _word_features(w: str) -> frozenset[int]:
+    names = [f"w{w}"]
+    if len(w) > 3 and w != "0":
+        names += [f"c{x[i : i + 4]}" for x in (f" {w} ",) for i in range(len(x) - 3)]
+    return frozenset(zlib.crc32(n.encode()) for n in names)
+
+
 def features(ws: Sequence[str]) -> set[int]:
     """Hashed words, pairs of words and pieces of four letters, each once."""
-    names = {f"w{w}" for w in ws} | {f"p{a} {b}" for a, b in zip(ws, ws[1:])}
-    for w in ws:
-        if len(w) > 3 and w != "0":
-            names.update(f"c{x[i : i + 4]}" for x in (f" {w} ",) for i in range(len(x) - 3))
-    return {zlib.crc32(n.encode()) for n in names}
+    return {zlib.crc32(f"p{a} {b}".encode()) for a, b in zip(ws, ws[1:])}.union(*map(_word_features, set(ws)))
 
 
 class Model:
@@ -102,7 +120,7 @@ class Model:
         bags: list[list[int]] = []
         distinct: dict[tuple[str, ...], int] = {}
         for t in texts:
-            bags.append(sorted({distinct.setdefault(ws, len(distinct)) for s in sentences(t) if len(ws := tuple(words(s))) >= LEAST_WORDS}))
+            bags.append(sorted({distinct.setdefault(ws, len(distinct)) for s in sentences(t) if (ws := tuple(words(s)))}))
         sets = [features(ws) for ws in distinct]
         support: Counter[int] = Counter()
         word_support: Counter[str] = Counter()
@@ -145,11 +163,11 @@ class Model:
         ws = words(sentence)
         key = " ".join(ws)
         if (p := self.cache.get(key)) is None:
-            if len(ws) < LEAST_WORDS:
+            if not ws:
                 return np.zeros(len(self.labels))
             ws = [unmask(x, self.known) if "*" in x else x for x in ws]
             x = features(ws)
-            at = np.array([j for f in x if (j := self.index.get(f)) is not None], np.int64)
+            at = np.array(sorted(self.index[f] for f in self.index.keys() & x), np.int64)
             z = self.weights[at].sum(axis=0) / np.sqrt(max(1, len(x))) + self.bias
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             if len(self.cache) < 100_000 and len(key) < 400:
@@ -168,9 +186,15 @@ class Model:
 def fit(documents: DataFrame, labelled: DataFrame) -> Model:
     """A model from all labels of at most ``MOST_LABELLED`` documents; without any label it scores everything near zero."""
     votes = labelled.where("doc_id is not null and label is not null").select("doc_id", "rater", "label").distinct().groupBy("doc_id").agg(F.collect_list("label").alias("labels"))
-    sample = votes.join(documents.select("doc_id", "text").where("length(text) > 0"), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELLED)
-    rows = sample.collect()
-    rows = list({r.doc_id: r for r in rows}.values())
+    # the ids are chosen first, so that only the sample's texts leave their place
+    sample = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELLED)
+    texts = documents.select("doc_id", "text").where("length(text) > 0").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    rows, chars = [], 0
+    for r in texts.orderBy(F.xxhash64("doc_id"), "doc_id").toLocalIterator():
+        chars += len(r.text)
+        if chars > MOST_CHARS:
+            break
+        rows.append(r)
     labels = sorted({x for r in rows for x in r.labels} - {CLEAN}) or ["abuso"]
     targets = np.array([[r.labels.count(x) / len(r.labels) for x in labels] for r in rows]).reshape(len(rows), len(labels))
     return Model.train([r.text for r in rows], targets, labels)

@@ -55,3 +55,21 @@ def test_tables(spark):
     assert r["s0"].n_offensive == 30 and r["s1"].n_offensive == 0 and r[None].n_documents == 1
     assert ha.scores(docs, labels).count() == docs.count()
     assert ha.found(docs, labels.limit(0)).count() == 0 and ha.found(docs.limit(0), labels).count() == 0
+
+
+def test_short_sentences_are_read_with_their_neighbour(model):
+    assert ha.sentences("Te odio. Eres basura. Muérete ya. Las obras siguen su curso normal.") == ["Te odio. Eres basura. Muérete ya.", "Las obras siguen su curso normal."]
+    assert ha.sentences("Sí. No.") == ["Sí. No."] and ha.sentences("La obra sigue igual. No. Ya.") == ["La obra sigue igual. No. Ya."]
+    assert model.score(f"{CLEAN[0]} ¡Imbécil! ¡Inútil! ¡Animal! {CLEAN[1]}")[1].shape[0] == 2
+
+
+def test_the_sample_is_bounded_in_characters(spark, monkeypatch):
+    rows = corpus(5, 40)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, "abuso" if b else "limpio") for i, _, b in rows], "doc_id long, rater int, label string")
+    seen = []
+    monkeypatch.setattr(ha.Model, "train", classmethod(lambda cls, texts, targets, labels: seen.append(len(texts))))
+    ha.fit(docs, labels)
+    monkeypatch.setattr(ha, "MOST_CHARS", 2000)
+    ha.fit(docs, labels)
+    assert seen[0] == 40 and 0 < seen[1] < 10
