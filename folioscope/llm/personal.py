@@ -2,10 +2,11 @@
 
 Regular expressions propose spans; checksums (modulo 11 of tax numbers, Luhn
 of cards, modulo 97 of bank accounts) and the words before a span raise or
-lower its score, and spans that reach ``LEAST_SCORE`` are kept. Names are
-proposed after titles and set phrases, and by runs of words from a lexicon of
-name words that a first pass over all texts learns from those phrases: words
-that stand mostly in names.
+lower its score, and spans of any kind that reach ``LEAST_SCORE`` are kept.
+Names are proposed after titles and set phrases, and by runs of words from a
+lexicon of name words that a first pass over all texts learns from those
+phrases: words that stand mostly in names. The most frequent of them are sent
+to the executors; where there are more, each text gets its own others by a join.
 
 Texts keep their characters, so positions are those of the given text; a line
 break counts as a space and a word may be broken by a hyphen at a line's end.
@@ -18,15 +19,16 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.session import spread
+from folioscope.session import cut, spread
 
 LEAST_SCORE = 2
 #: A name word: seen so often after a title or phrase, with this share of all its capitalised uses within names.
 NAME_SEEN, NAME_SHARE = 2, 0.2
-#: Size bound of the lexicon that is sent to the executors; the rarest words beyond it are found after titles and phrases only.
+#: Size bound of the lexicon that is sent to the executors; texts get the words beyond it by a join.
 MOST_NAMES = 300_000
 KINDS = {"name": "[NOMBRE]", "email": "[CORREO]", "phone": "[TELEFONO]", "id_number": "[IDENTIDAD]", "address": "[DIRECCION]"}
 
@@ -71,6 +73,11 @@ _STREET_TAIL = re.compile(
 _BROKEN = re.compile(rf"{_HYPHEN}\s*\n\s*")
 # Words before a number that say what it is.
 _SAYS_PHONE = re.compile(r"cel(?:ular)?\b|tel[eé]?f|fono|m[oó]vil|llama|n[uú]mero\s+es|whats|contact|comun[ií]c", re.I)
+_SAYS_MAIL = re.compile(r"correo|e-?mail|escrib|buz[oó]n|contact|comun[ií]c", re.I)
+_SAYS_PLACE = re.compile(r"domicili|direcci[oó]n|resid|viv[ieí]|ubicad|sit[oa]\s|local", re.I)
+# a road that works are done on, a page of the web
+_SAYS_WORKS = re.compile(r"(?:tramo|progresiva|construcci[oó]n|mejoramiento|rehabilitaci[oó]n|mantenimiento)\s+(?:de\s+)?(?:la\s+|el\s+)?$", re.I)
+_SAYS_WEB = re.compile(r"(?:https?|ftp)://\S*$|www\.\S*$", re.I)
 _SAYS_ID = re.compile(r"\bd\.?\s?n\.?\s?i\b|documento|identi|\bruc\b|r\.u\.c|pasaporte|carn[eé]|c[eé]dula|extranjer|contribuyente|tarjeta|cuenta|\bcci\b|iban", re.I)
 
 
@@ -113,6 +120,22 @@ def _id_score(span: str, before: str) -> int:
     return said if re.fullmatch(r"[A-Z]{1,2}\d{6,8}", bare) else 0
 
 
+def _mail_score(span: str, before: str) -> int:
+    """A plain address with a domain is enough by itself; spelt-out signs need the words of one, or no space around; a part of a web address is none."""
+    score = 2 if "@" in span or re.search(r"[(\[]", span) else 1
+    return score + (1 if _SAYS_MAIL.search(before) else 0) - (3 if _SAYS_WEB.search(before) else 0)
+
+
+def _place_score(span: str, before: str) -> int:
+    """A street or block with its number, where it does not say that works are done on it."""
+    return 2 + (1 if _SAYS_PLACE.search(before) else 0) - (2 if _SAYS_WORKS.search(before) else 0)
+
+
+def _name_score(known: int, titled: bool, phrased: bool) -> int:
+    """A title, or two name words, are enough; a phrase or a single name word needs the other."""
+    return 2 * titled + phrased + min(known, 2)
+
+
 def fold(word: str) -> str:
     return _BROKEN.sub("", word).lower().strip(".'’")
 
@@ -151,7 +174,7 @@ def lexicon(texts: DataFrame) -> DataFrame:
         yield _counted(votes, others)
 
     counts = texts.select("text").mapInPandas(run, "word string, seen bigint, other bigint").groupBy("word").agg(F.sum("seen").alias("seen"), F.sum("other").alias("other"))
-    return counts.where(f"seen >= {NAME_SEEN} AND seen >= {NAME_SHARE} * (seen + other)").orderBy(F.desc("seen"), "word").limit(MOST_NAMES).select("word", "seen")
+    return counts.where(f"seen >= {NAME_SEEN} AND seen >= {NAME_SHARE} * (seen + other)").select("word", "seen")
 
 
 def _counted(votes: Counter, others: Counter) -> pd.DataFrame:
@@ -172,8 +195,8 @@ def _names(text: str, names: frozenset[str], taken: list[tuple[int, int]]) -> It
         if _FIRM_END.match(text, b) or not ws or ws[0] in _FIRMS:
             continue
         known = sum(w in names for w in ws)
-        # after a phrase one known word is enough; an unknown person needs a title
-        if known or (not _FIRMS & set(ws) and re.match(_TITLES, m[0])):
+        titled = re.match(_TITLES, m[0]) is not None
+        if _name_score(known, titled and not (_FIRMS & set(ws)), not titled or known > 0) >= LEAST_SCORE:
             # a next line that begins with no name word is a role or an office
             for w in re.finditer(_WORD, m[1]):
                 if w.start() and (fold(w[0]) in _FIRMS or "\n" in m[1][: w.start()] and fold(w[0]) not in names and m[1][: w.start()].rstrip(" \n")[-1:] != "," and known >= 2):
@@ -205,7 +228,8 @@ def _run(run: list[tuple[int, int, bool]]) -> Iterator[tuple[int, int]]:
     while run and not run[-1][2]:
         run = run[:-1]
     known = sum(k for _, _, k in run)
-    if known >= 2 or known == 1 and len(run) >= 2:
+    # an initial counts as a name word beside one
+    if _name_score(known + (len(run) > known and known > 0), False, False) >= LEAST_SCORE:
         yield run[0][0], run[-1][1]
 
 
@@ -215,9 +239,10 @@ def spans(text: str | None, names: frozenset[str]) -> list[tuple[int, int, str]]
         return []
     proposed: list[tuple[int, int, str]] = []
     if "@" in text or "arroba" in text or "at" in text and ("(at)" in text or "[at]" in text):
-        proposed += [(*m.span(), "email") for m in _MAIL.finditer(text)]
+        proposed += [(*m.span(), "email") for m in _MAIL.finditer(text) if _mail_score(m[0], _before(text, m.start())) >= LEAST_SCORE]
     for m in _STREET.finditer(text):
-        proposed.append((m.start(), _STREET_TAIL.match(text, m.end()).end(), "address"))
+        if _place_score(m[0], _before(text, m.start())) >= LEAST_SCORE:
+            proposed.append((m.start(), _STREET_TAIL.match(text, m.end()).end(), "address"))
     for m in _PHONE.finditer(text):
         before = _before(text, m.start())
         shaped = m[0][0] in "+(" or m[0].startswith("0051")
@@ -256,18 +281,40 @@ def texts(pages: DataFrame, sections: DataFrame) -> DataFrame:
     return spread(a.unionByName(b).where(F.length("text") > 0))
 
 
-def _known(source: DataFrame) -> frozenset[str]:
-    return frozenset(r.word for r in lexicon(source).toLocalIterator())
+def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        rows = [(i, w) for i, t in zip(b["key"], b["text"]) for w in {(_BROKEN.sub("", m[0]) if "\n" in m[0] else m[0]).lower() for m in _TOKENS(t)} | {fold(x) for x in re.findall(_WORD, t)}]
+        yield pd.DataFrame(rows, columns=["key", "word"])
+
+
+def _with_names(source: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """The texts with a column ``own``, their name words beyond those that are sent to all; and these."""
+    words = cut(lexicon(source))
+    n = words.count()
+    top = words if n <= MOST_NAMES else words.orderBy(F.desc("seen"), "word").limit(MOST_NAMES)
+    names = frozenset(r.word for r in top.select("word").toLocalIterator())
+    shared = source.sparkSession.sparkContext.broadcast(names)
+    if n <= MOST_NAMES:
+        return source.withColumn("own", F.lit(None).cast("array<string>")), shared
+    least = top.agg(F.min(F.struct("seen", F.col("word")))).first()[0].seen
+    # ties at the bound may be sent and joined as well, which changes nothing
+    rest = words.where(F.col("seen") <= least).select("word")
+    keyed = source.withColumn("key", F.xxhash64("text"))
+    own = keyed.select("key", "text").mapInPandas(_words, "key bigint, word string").join(rest, "word", "left_semi").groupBy("key").agg(F.collect_set("word").alias("own"))
+    return keyed.join(own, "key", "left").drop("key"), shared
+
+
+def _of(names: frozenset[str], own) -> frozenset[str]:
+    return names if own is None or not len(own) else names | frozenset(own)
 
 
 def found(pages: DataFrame, sections: DataFrame) -> DataFrame:
     """One row per occurrence: tbl, doc_id, page_number, start_pos (0-based, in characters), kind."""
-    source = texts(pages, sections)
-    names = source.sparkSession.sparkContext.broadcast(_known(source))
+    source, names = _with_names(texts(pages, sections))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(t, d, p, a, k) for t, d, p, text in zip(b["tbl"], b["doc_id"], b["page_number"], b["text"]) for a, _, k in spans(text, names.value)]
+            rows = [(t, d, p, a, k) for t, d, p, text, own in zip(b["tbl"], b["doc_id"], b["page_number"], b["text"], b["own"]) for a, _, k in spans(text, _of(names.value, own))]
             yield pd.DataFrame(rows, columns=["tbl", "doc_id", "page_number", "start_pos", "kind"])
 
     return source.mapInPandas(run, "tbl string, doc_id string, page_number int, start_pos int, kind string").distinct()
@@ -275,12 +322,11 @@ def found(pages: DataFrame, sections: DataFrame) -> DataFrame:
 
 def redacted(pages: DataFrame, sections: DataFrame) -> DataFrame:
     """The same texts with typed placeholders, and the number of items replaced; repeated deliveries once."""
-    source = texts(pages, sections)
-    names = source.sparkSession.sparkContext.broadcast(_known(source))
+    source, names = _with_names(texts(pages, sections))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            hits = [spans(t, names.value) for t in b["text"]]
+            hits = [spans(t, _of(names.value, own)) for t, own in zip(b["text"], b["own"])]
             yield b[["tbl", "doc_id", "page_number"]].assign(text=[redact(t, h) for t, h in zip(b["text"], hits)], n_items=[len(h) for h in hits])
 
     out = source.mapInPandas(run, "tbl string, doc_id string, page_number int, text string, n_items int")

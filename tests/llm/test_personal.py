@@ -63,3 +63,18 @@ def test_redacted(data):
 
 def test_empty(data):
     assert pe.found(data[0].limit(0), data[1].limit(0)).count() == 0
+
+
+def test_names_beyond_the_bound_are_joined(data, monkeypatch):
+    rows = lambda: {tuple(r) for r in pe.found(*data).collect()}
+    one = rows()
+    monkeypatch.setattr(pe, "MOST_NAMES", 2)
+    assert rows() == one
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [("ver https://portal.example/x@obras.test hoy", []), ("correo x@obras.test hoy", ["email"]), ("mejoramiento de la Carretera Central 120 y obras", []), ("con domicilio en Carretera Central 120", ["address"]), ("dijo el testigo Pedro Nadie", []), ("dijo el testigo Ciro Nadie", ["name"]), ("Ing. Pedro Nadie", ["name"])],
+)
+def test_every_kind_has_a_score(text, expected):
+    assert [k for _, k in kinds(text)] == expected
