@@ -3,10 +3,14 @@
 One pass over the pages counts words, edge lines by file, and words with a
 hyphen of their own. Three boosted models then work on these counts:
 
-* words: correction candidates of each word come from an inverted join over
-  character q-grams of a spelling in which all that scanning confuses is equal
-  (so a confusion spoils no q-gram, each word posts only its rarest one, and no
-  pair is lost, however many confusions there are), and a boosted
+* words: correction candidates of a word with digits or signs in it come from
+  an inverted join over character q-grams (each word posts its rarest q-grams,
+  as many as the edits can spoil and one more, so no word within one edit, or
+  two of a word of ``LONG`` letters, is lost, whatever was misread as what), and
+  those of every word from a join over a spelling in which all that scanning is
+  known to confuse is equal (so no word is lost, however many such confusions
+  there are). Other letters alone, as in names and inflections, are no
+  misreading that can be told. A boosted
   ranker over how scanning confuses letters and how much more frequent the
   candidate is chooses the replacement. It is trained on frequent words that
   were spoilt artificially and on pairs of real words that are close.
@@ -42,8 +46,8 @@ from folioscope.session import cut, spread
 FREQUENT_SHARE = 1e-5
 #: Lines at either end of a page that may be furniture, and pages in a block of a file.
 EDGE, BLOCK = 4, 512
-#: q of the q-grams.
-Q = 3
+#: q of the q-grams, and the letters from which on a word may be two edits from its correction, not one.
+Q, LONG = 3, 8
 #: Bounds of the samples that the models are trained on.
 TRAIN_WORDS, TRAIN_FILES = 2000, 400
 LEAST_WORD = 4
@@ -210,12 +214,19 @@ def spoil(word: str, dice: np.random.Generator) -> str:
     return word
 
 
+def signed(word: str, dice: np.random.Generator) -> str:
+    """A word with any digits or signs in place of as many letters as may be edited."""
+    for i in dice.integers(len(word), size=int(dice.integers(1, 3)) if len(word) >= LONG else 1):
+        word = word[:i] + "0123456789@|"[int(dice.integers(12))] + word[i + 1 :]
+    return word
+
+
 def train_ranker(frequent: list[tuple[str, int]]) -> Boosted | None:
     """Ranker of corrections from the most frequent words; none without enough of them."""
     usable = [(w, n) for w, n in frequent if len(w) >= LEAST_WORD and w.isalpha()][:TRAIN_WORDS]
     if len(usable) < 20:
         return None
-    dice = np.random.default_rng(3)
+    dice, signs = np.random.default_rng(3), np.random.default_rng(7)
     held = dict(frequent)
     x, y = [], []
     index: dict[str, list[str]] = defaultdict(list)
@@ -239,6 +250,14 @@ def train_ranker(frequent: list[tuple[str, int]]) -> Boosted | None:
         if other != w and explained(other, w, 3)[0] == 99:
             x.append(pair_features(other, max(1, int(n * 10 ** -dice.uniform(1, 4))), w, n))
             y.append(0)
+        # digits and signs in place of letters, and a number that stands with the word
+        odd = signed(w, signs)
+        if odd not in held and _WORD.fullmatch(odd) and explained(odd, w, 1 + len(w) // 4)[0] == 99:
+            x.append(pair_features(odd, max(1, int(n * 10 ** -signs.uniform(1.2, 4))), w, n))
+            y.append(1)
+        number = str(signs.integers(1, 99))
+        x.append(pair_features(w + number if signs.random() < 0.7 else number[:1] + w, max(1, int(n * 10 ** -signs.uniform(1, 4))), w, n))
+        y.append(0)
     return Boosted(trees=40).fit(np.array(x), np.array(y)) if len(set(y)) == 2 else None
 
 
@@ -250,22 +269,40 @@ def corrections(words: DataFrame, ranker: Boosted | None) -> DataFrame:
         return spark.createDataFrame([], schema)
     shared = spark.sparkContext.broadcast(ranker)
     usable = words.where(F.length("word").between(LEAST_WORD, 40)).withColumn("folded", folded(F.col("word")))
-    posted = usable.select("word", "n", "folded", F.expr(f"explode(array_distinct(transform(sequence(1, length(folded) + 2), i -> substr(concat('##', folded, '##'), i, {Q}))))").alias("gram"))
+    # shorter words only stand with numbers
+    posted = words.where(F.length("word").between(LEAST_WORD - 1, 40)).select("word", "n", F.expr(f"explode(array_distinct(transform(sequence(1, length(word) + 2), i -> substr(concat('##', word, '##'), i, {Q}))))").alias("gram"))
     common = posted.groupBy("gram").agg(F.count("*").alias("df"))
     rank = Window.partitionBy("word").orderBy("df", "gram")
-    posted = posted.join(common, "gram").withColumn("place", F.row_number().over(rank)).where("place = 1").select("gram", "folded", "word", "n")
-    a, b = posted.alias("a"), posted.alias("b")
-    pairs = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.folded") == F.col("b.folded")) & (F.col("a.n") * 10 <= F.col("b.n")) & F.col("b.word").rlike(r"^\p{L}+$"))
-    pairs = pairs.select(F.col("a.word").alias("word"), F.col("a.n").alias("n"), F.col("b.word").alias("right"), F.col("b.n").alias("n_right")).distinct()
+    # a word posts for the longest one that may be an edit of it
+    posted = posted.join(common, "gram").withColumn("place", F.row_number().over(rank)).where(f"place <= if(length(word) >= {LONG - 2}, {2 * Q + 1}, {Q + 1})").select("gram", "word", "n")
+    plain = F.col("word").rlike(r"^\p{L}+$")
+    letters = (F.col("n") >= 2) & plain
+    chosen = [F.col("a.word").alias("word"), F.col("a.n").alias("n"), F.col("b.word").alias("right"), F.col("b.n").alias("n_right")]
+    edits = F.levenshtein(F.col("a.word"), F.col("b.word"), 2)
+    frequent = (F.col("a.n") * 10 <= F.col("b.n")) & (F.length("b.word") >= LEAST_WORD)
+    # the word without its number needn't be so much more frequent
+    numbered = (F.col("a.n") < F.col("b.n")) & (F.regexp_replace("a.word", r"^\d+|\d+$", "") == F.col("b.word"))
+    near = posted.where((F.length("word") >= LEAST_WORD) & ~plain).alias("a").join(posted.where(letters).alias("b"), (F.col("a.gram") == F.col("b.gram")) & (frequent | numbered) & (F.abs(F.length("a.word") - F.length("b.word")) <= 2))
+    near = near.where(edits.between(0, F.when(F.length("a.word") >= LONG, 2).otherwise(1))).select(*chosen, F.lit(True).alias("near"))
+    alike = usable.alias("a").join(usable.where(letters).alias("b"), (F.col("a.folded") == F.col("b.folded")) & frequent).select(*chosen, F.lit(False).alias("near"))
+    pairs = near.unionByName(alike).groupBy("word", "n", "right", "n_right").agg(F.max("near").alias("near"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
-            keep = [(w, n, r, m) for w, n, r, m in zip(p["word"], p["n"], p["right"], p["n_right"]) if explained(w, r, 1 + len(w) // 4)[0] < 99]
-            score = shared.value.probability(np.array([pair_features(*k) for k in keep])) if keep else []
-            yield pd.DataFrame([(k[0], k[2], float(s), k[3]) for k, s in zip(keep, score) if s >= 0.5], columns=["word", "right", "score", "n_right"])
-
-    ranked = pairs.mapInPandas(run, "word string, right string, score double, n_right bigint")
-    return ranked.groupBy("word").agg(F.max_by("right", F.struct(F.round("score", 1), "n_right", "right")).alias("fix"))
+            seen = [(*k, pair_features(*k), near) for *k, near in zip(p["word"], p["n"], p["right"], p["n_right"], p["near"])]
+            keep = [k for k in seen if k[5] or k[4][0] < 99]
+            score = shared.value.probability(np.array([k[4] for k in keep])) if keep else []
+            out = []
+            for (w, n, r, m, x, _), s in zip(keep, score):
+                if x[0] == 99 and w.strip("0123456789") == r:
+                    # a word and its number stay as they are, if that is no known confusion of another word
+                    out.append((w, w, False, 2.0, m))
+                elif s >= 0.5 and m >= 10 * n and len(r) >= LEAST_WORD:
+                    out.append((w, r, x[0] < 99, float(s), m))
+            yield pd.DataFrame(out, columns=["word", "right", "listed", "score", "n_right"])
+
+    ranked = pairs.mapInPandas(run, "word string, right string, listed boolean, score double, n_right bigint")
+    return ranked.groupBy("word").agg(F.max_by("right", F.struct("listed", F.round("score", 1), "n_right", "right")).alias("fix")).where("fix != word")
 
 
 # ------------------------------------------------------------ furniture

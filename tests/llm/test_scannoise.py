@@ -87,3 +87,13 @@ def test_confusions_fold_to_the_same(spark):
     pairs = [*sn.CONFUSIONS, *((w, sn.spoil(w, dice)) for w in ["tierno", "arriba", "clarines", "encarnación", "modificación"] for _ in range(200))]
     rows = spark.createDataFrame(pairs, "a string, b string")
     assert rows.where(sn.folded(rows["a"]) != sn.folded(rows["b"])).collect() == []
+
+
+def test_misread_signs_in_no_list_are_repaired(spark):
+    frequent = {w: 5000 for w in sn.words_of(SENTENCES + THINGS)} | {"expediente": 5000, "zonas": 5000, "zona": 90, "obra": 9000, "mesa": 5000, "mes": 300}
+    ranker = sn.train_ranker(sorted(frequent.items(), key=lambda x: (-x[1], x[0])))
+    wrong = {"expe0iente": "expediente", "obr4": "obra", "supe7vi8ión": "supervisión", "rese|vorio": "reservorio", "m3mbrana": "membrana"}
+    # numbers behind and before a word, an ordinary other letter, and too many edits
+    stand = ["obra7", "obra27", "3muro", "zona2", "mes3", "tablera", "ob74", "ex3e7ie9te"]
+    words = spark.createDataFrame([*frequent.items(), *((w, 20 if w == "zona2" else 1) for w in [*wrong, *stand])], "word string, n long")
+    assert {r.word: r.fix for r in sn.corrections(words, ranker).collect()} == wrong
